@@ -56,7 +56,7 @@ def mention_prefix(author: Column, text: Column, name: str, distinct: bool = Fal
     """The author's handle and every other handle named in the message."""
     others = F.filter(
         F.split(text, NOT_HANDLE),
-        lambda h: (F.length(h) > 2) & F.startswith(h, F.lit("@")) & (F.substring(h, 2, 2**31 - 1) != name),
+        lambda h: (F.length(h) > 2) & F.startswith(h, F.lit("@")) & (F.substr(h, F.lit(2)) != name),
     )
     handles = F.concat(F.array(F.concat(F.lit("@"), author)), others)
     return F.array_join(F.array_distinct(handles) if distinct else handles, " ")

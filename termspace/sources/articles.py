@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termspace.schemas import DOI_PATH, JATS_STYLE, article_schema, metadata_columns
+from termspace.schemas import DOI_PATH, JATS_STYLE, TEXT_COLUMNS, article_schema, metadata_columns
 
 ARTICLE_END = "</article>"
 
@@ -95,7 +95,7 @@ def extract_articles(
     def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = [article_values(xml, paths, nested) for xml in frame["xml"]]
-            parsed = pd.DataFrame(rows, index=frame.index)
+            parsed = pd.DataFrame(rows, index=frame.index, dtype=object)
             parsed["source_file"] = frame["source_file"]
             parsed["xml"] = frame["xml"].where(parsed["error"].notna(), None)
             for name in keep:
@@ -118,13 +118,13 @@ def _parse(xml: str) -> ElementTree.Element:
 
 def article_values(xml: str | None, paths: dict[str, str], nested: str = "repeat") -> dict:
     """Column values of one article, or its error."""
+    values = dict.fromkeys([*paths, *TEXT_COLUMNS, "error"])
     if not xml:
-        return {"error": "no article"}
+        return {**values, "error": "no article"}
     try:
         article = _parse(xml)
     except ElementTree.ParseError as problem:
-        return {"error": str(problem)}
-    values = {}
+        return {**values, "error": str(problem)}
     for name, path in paths.items():
         try:
             values[name] = [element.text for element in article.iterfind(path)]
@@ -133,7 +133,6 @@ def article_values(xml: str | None, paths: dict[str, str], nested: str = "repeat
     values["doi"] = next(iter(values["doi"] or []), None)
     values["fulltext"] = _paragraphs(article, ".//body//p", nested)
     values["abstract"] = _paragraphs(article, ".//abstract//p", nested)
-    values["error"] = None
     return values
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from termspace.operators.answers import LINK_BASE, direct_mentions, reply_to
 from termspace.schemas import MENTIONS, REPLIES
-from termspace.session import remove, scratch_path
+from termspace.session import remove, scratch_path, settle
 
 POLL = "60 seconds"
 WATERMARK = "1 day"
@@ -66,9 +66,11 @@ def append_replies(batch: DataFrame, vectors: DataFrame, name: str, replies: str
     """
     spark = batch.sparkSession
     work = scratch_path(spark, "mentions")
-    batch = batch.withColumn("reply_date", F.to_date("ts"))
+    # The batch is read several times below; its state store must be read once.
+    batch = settle(batch.withColumn("reply_date", F.to_date("ts")), "batch", work)
     first, last = batch.agg(F.min("reply_date"), F.max("reply_date")).first()
     if first is None:
+        remove(spark, work)
         return
     known = read_replies(spark, replies)
     if known is not None:
