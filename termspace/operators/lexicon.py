@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termspace.operators.skew import lookup_join
+from termspace.operators.vocabulary import word_rows
 
 NOUN_TAGS = ("NN",)
 
@@ -25,7 +26,7 @@ def lexicon_nouns(
     get an empty list, rows without words null. ``balance`` goes to lookup_join.
     """
     wanted = lexicon.filter(F.col("tag").isin(*tags)).select("word").distinct()
-    tokens = df.select(key, F.posexplode(words).alias("pos", "word"))
+    tokens = word_rows(df, words, key, positions=True)
     nouns = lookup_join(tokens, wanted, "word", spread=[key, "pos"], **balance)
     listed = nouns.groupBy(key).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("pos", "word"))), lambda s: s["word"]).alias(output)

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from termspace.functions.vector_math import scale
 from termspace.operators.skew import hot_keys, lookup_join
-from termspace.session import settle
+from termspace.session import fill_cores, settle
 
 POOL = 10  # ranks that are looked at
 SKIP = 1  # leading ranks that are dropped, whatever word they hold
@@ -136,7 +137,7 @@ def _score_sent(fetched: pa.Table, vectors: DataFrame, pool: int) -> DataFrame:
             best.add(batch["word"], batch["vector"])
         yield from best.batches()
 
-    return vectors.mapInArrow(score, _HITS)
+    return fill_cores(vectors).mapInArrow(score, _HITS)
 
 
 def _score_cells(queries, vectors, pool, cell_queries, cell_vectors) -> DataFrame:
@@ -183,66 +184,65 @@ class BestHits:
     """The best ``pool`` words per query over the batches of one task."""
 
     SCHEMA = pa.schema([("key", pa.string()), ("word", pa.string()), ("sim", pa.float64()), ("other", pa.bool_())])
+    _RANKING = [("query", "ascending"), ("sim", "descending"), ("other", "ascending"), ("word", "ascending")]
 
     def __init__(self, queries: pa.Table, pool: int):
         self.pool = pool
-        self.keys = queries["key"].to_numpy()
-        self.terms = np.array(queries["term"].to_pylist(), dtype=object)
+        self.keys = queries["key"].combine_chunks()
+        self.terms = queries["term"].combine_chunks()
         self.queries = _matrix(queries["vector"]) if len(self.keys) else np.zeros((0, 0))
         self.norms = np.sqrt((self.queries**2).sum(axis=1))
-        # Kept hits, sorted by query and rank, and the value a new hit must reach.
-        self.query = np.zeros(0, dtype=np.int64)
-        self.sim = np.zeros(0)
-        self.word = np.zeros(0, dtype=object)
+        # Kept hits, in order of query and rank, and the value a new hit must reach.
+        self.kept = self._hits(np.zeros(0, dtype=np.int64), np.zeros(0), pa.array([], pa.string()))
         self.floor = np.full(len(self.keys), -np.inf)
 
+    def _hits(self, query: np.ndarray, sim: np.ndarray, word: pa.Array) -> pa.Table:
+        # False for the term that the query stands for; it goes before its equals.
+        other = pc.fill_null(pc.not_equal(word, self.terms.take(pa.array(query))), True)
+        return pa.table({"query": query, "sim": sim, "other": other, "word": word})
+
     def add(self, words: pa.Array, vectors: pa.Array) -> None:
         if not len(words) or not len(self.keys):
             return
-        words = np.array(words.to_pylist(), dtype=object)
+        words = words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words
         block = _matrix(vectors)
         norms = np.sqrt((block**2).sum(axis=1))
         unit = np.divide(block, norms[:, None], out=np.zeros_like(block), where=norms[:, None] > 0)
-        query, sim, word = [self.query], [self.sim], [self.word]
+        found = [self.kept]
         for start in range(0, len(self.keys), _QUERY_SLICE):
-            part = slice(start, start + _QUERY_SLICE)
-            rows, cols = self._near(unit, part)
+            queries, rows = self._near(unit, slice(start, start + _QUERY_SLICE))
             for first in range(0, len(rows), _PAIR_SLICE):
                 r = rows[first : first + _PAIR_SLICE]
-                q = cols[first : first + _PAIR_SLICE] + start
-                exact = _row_cosines(block[r], self.queries[q], norms[r], self.norms[q])
-                query.append(q)
-                sim.append(exact)
-                word.append(words[r])
-        self._keep(np.concatenate(query), np.concatenate(sim), np.concatenate(word))
+                q = queries[first : first + _PAIR_SLICE] + start
+                sim = _row_cosines(block[r], self.queries[q], norms[r], self.norms[q])
+                found.append(self._hits(q, sim, words.take(pa.array(r))))
+        self._keep(pa.concat_tables(found))
 
     def _near(self, unit: np.ndarray, part: slice) -> tuple[np.ndarray, np.ndarray]:
-        """(row, query) pairs that may be among the best."""
+        """(query, row) pairs that may be among the best."""
         asked, lengths = self.queries[part], self.norms[part]
         asked = np.divide(asked, lengths[:, None], out=np.zeros_like(asked), where=lengths[:, None] > 0)
-        sims = unit @ asked.T
+        sims = asked @ unit.T
         floor = self.floor[part]
         if len(unit) > self.pool:
-            in_block = np.partition(sims, len(unit) - self.pool, axis=0)[len(unit) - self.pool]
+            in_block = np.partition(sims, len(unit) - self.pool, axis=1)[:, len(unit) - self.pool]
             floor = np.maximum(floor, in_block)
-        return np.nonzero(sims >= floor - _MARGIN)
+        return np.nonzero(sims >= (floor - _MARGIN)[:, None])
 
-    def _keep(self, query: np.ndarray, sim: np.ndarray, word: np.ndarray) -> None:
-        other = word != self.terms[query]
-        order = np.lexsort((word, other, -sim, query))
-        query = query[order]
+    def _keep(self, hits: pa.Table) -> None:
+        hits = hits.take(pc.sort_indices(hits, sort_keys=self._RANKING))
+        query = hits["query"].to_numpy()
         # Place within the query: position minus the position of the query's first hit.
         firsts = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
         place = np.arange(len(query)) - np.repeat(firsts, np.diff(np.r_[firsts, len(query)]))
-        order, query = order[place < self.pool], query[place < self.pool]
-        self.query, self.sim, self.word = query, sim[order], word[order]
-        last = place[place < self.pool] == self.pool - 1
-        self.floor[query[last]] = self.sim[last]
+        self.kept = hits.filter(pa.array(place < self.pool)).combine_chunks()
+        last = place == self.pool - 1
+        self.floor[query[last]] = hits["sim"].to_numpy()[last]
 
     def batches(self) -> list[pa.RecordBatch]:
-        keys, words = pa.array(self.keys[self.query], pa.string()), pa.array(self.word, pa.string())
-        other = pa.array(self.word != self.terms[self.query], pa.bool_())
-        return [pa.record_batch([keys, words, pa.array(self.sim), other], schema=self.SCHEMA)]
+        hits = self.kept
+        table = pa.table([self.keys.take(hits["query"]), hits["word"], hits["sim"], hits["other"]], schema=self.SCHEMA)
+        return table.to_batches()
 
 
 def _first(hits: DataFrame, n: int) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # One task should meet about this many rows of one key.
 ROWS_PER_COPY = 200_000
@@ -11,6 +12,29 @@ ROWS_PER_COPY = 200_000
 # A key outside the list holds less than 1/HOT_KEYS of the rows.
 HOT_KEYS = 4_096
 
+# A table within both bounds is broadcast.
+BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 * 2**20
+
+
+def fits(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a table is small enough to broadcast; looks at ``rows`` + 1 rows at most."""
+
+    def width(field: T.StructField):
+        column = F.col(field.name)
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(column), F.lit(0))
+        if isinstance(field.dataType, T.NumericType):
+            return F.lit(8)
+        # Nested values: at least as long as text as they are in memory.
+        return F.coalesce(F.octet_length(F.to_json(F.array(column))), F.lit(0))
+
+    total = F.lit(0).cast("long")
+    for field in table.schema.fields:
+        total = total + width(field)
+    counted = table.limit(rows + 1).agg(F.count("*"), F.sum(total)).first()
+    return counted[0] <= rows and (counted[1] or 0) <= size
+
 
 def hot_keys(counts: DataFrame, key: str, rows_per_copy: int = ROWS_PER_COPY) -> DataFrame:
     """(key, copies) of the keys worth splitting, from a table (key, count).
@@ -33,15 +57,19 @@ def lookup_join(
     how: str = "inner",
     hot: DataFrame | None = None,
     rows_per_copy: int = ROWS_PER_COPY,
+    broadcast_small: bool = True,
 ) -> DataFrame:
-    """Join ``facts`` to ``table`` (one row per key) with hot keys split up.
+    """Join ``facts`` to ``table`` (one row per key) without piling up hot keys.
 
-    The rows of a hot key are spread over several copies of its table row, by a
+    A table that ``fits`` is broadcast and the facts stay where they are.
+    Otherwise, or if ``hot`` is given, the hot keys are split up: the rows of a hot key are spread over several copies of its table row, by a
     hash of the ``spread`` columns, which should tell the rows of a key apart.
     ``hot`` takes a known list from ``hot_keys``; otherwise the keys of
     ``facts`` are counted (partial sums before the shuffle).
     """
     if hot is None:
+        if broadcast_small and fits(table):
+            return facts.join(F.broadcast(table), key, how)
         hot = hot_keys(facts.groupBy(key).count(), key, rows_per_copy)
     copies = F.coalesce(F.col("_copies"), F.lit(1))
     left = (

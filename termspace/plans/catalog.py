@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 from termspace.functions import expressions as X
 from termspace.functions import text
 from termspace.functions.vector_math import cosine
-from termspace.operators import answers, lexicon, relational, similarity
+from termspace.operators import answers, embedding, lexicon, relational, similarity
 from termspace.operators.vocabulary import by_frequency, dense_index, vocabulary
 from termspace.plans import stages, training
 from termspace.schemas import ARTICLE
-from termspace.session import scratch_path, settle
+from termspace.session import fill_cores, scratch_path, settle
 from termspace.sources import articles, pages, records, vectors
 from termspace.streaming import articles as article_stream
 from termspace.streaming import mentions as mention_stream_job
@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return fill_cores(table(spark, sf_dir, "documents"))
 
 
 def tokens(spark, sf_dir) -> DataFrame:
@@ -88,7 +88,7 @@ def mentions(events: DataFrame) -> DataFrame:
 
 
 def event_mentions(spark, sf_dir) -> DataFrame:
-    return mentions(table(spark, sf_dir, "events"))
+    return mentions(fill_cores(table(spark, sf_dir, "events")))
 
 
 def lines_of(column: str) -> Column:
@@ -333,7 +333,7 @@ def vector_export(spark, sf_dir) -> DataFrame:
 
 def document_vectors(spark, sf_dir) -> DataFrame:
     known = settle(word_vectors(spark, sf_dir), "vectors")
-    embedded = training.embed_documents(tokens(spark, sf_dir), known, "doc_id")
+    embedded = embedding.embed_documents(tokens(spark, sf_dir), known, "doc_id")
     value = F.col("value")
     return embedded.select("doc_id", F.posexplode("vector").alias("dim", "value")).select(
         "doc_id", F.col("dim").cast("long").alias("dim"), (F.round(value, 6) + F.lit(0.0)).alias("value")

@@ -62,3 +62,13 @@ def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def fill_cores(df: DataFrame) -> DataFrame:
+    """Spread a table that comes in fewer partitions than there are cores.
+
+    Meant before costly expressions on a few small files. A table of more
+    partitions, which any large one is, is left where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
