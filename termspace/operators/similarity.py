@@ -142,6 +142,7 @@ def _score_sent(fetched: pa.Table, vectors: DataFrame, pool: int) -> DataFrame:
 
 def _score_cells(queries, vectors, pool, cell_queries, cell_vectors) -> DataFrame:
     """Both sides cut into blocks of bounded size; one task per pair of blocks."""
+    queries = settle(queries, "queries")
     q_blocks = math.ceil(queries.count() / cell_queries)
     v_blocks = max(1, math.ceil(vectors.count() / cell_vectors))
 

@@ -62,9 +62,9 @@ def lookup_join(
     """Join ``facts`` to ``table`` (one row per key) without piling up hot keys.
 
     A table that ``fits`` is broadcast and the facts stay where they are.
-    Otherwise, or if ``hot`` is given, the hot keys are split up: the rows of a hot key are spread over several copies of its table row, by a
-    hash of the ``spread`` columns, which should tell the rows of a key apart.
-    ``hot`` takes a known list from ``hot_keys``; otherwise the keys of
+    Otherwise, or if ``hot`` is given, the hot keys are split up: the rows of a
+    hot key are spread over several copies of its table row, by a hash of the
+    ``spread`` columns, which should tell the rows of a key apart. ``hot`` takes a known list from ``hot_keys``; otherwise the keys of
     ``facts`` are counted (partial sums before the shuffle).
     """
     if hot is None:

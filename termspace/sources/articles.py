@@ -46,7 +46,7 @@ def read_article_files(spark: SparkSession, path: str | list[str], compressed: s
     A file without such a line has an empty ``xml``.
     """
     if compressed is None:
-        files = spark.read.option("wholetext", True).text(path)
+        files = spark.read.text(path, wholetext=True)
         return files.select(F.col("_metadata.file_path").alias("source_file"), article_block("value").alias("xml"))
     if compressed != "gz":
         raise ValueError(f"compressed: gz, not {compressed!r}")

@@ -29,7 +29,7 @@ def convert_new_files(
     if kind == "collection":
         raw = _collection_articles(reader.option("lineSep", ARTICLE_END).text(source))
     elif kind == "files":
-        files = reader.option("wholetext", True).text(source)
+        files = reader.text(source, wholetext=True)
         raw = files.select(F.col("_metadata.file_path").alias("source_file"), article_block("value").alias("xml"))
     else:
         raise ValueError(f"kind: collection or files, not {kind!r}")
