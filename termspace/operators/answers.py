@@ -64,7 +64,8 @@ def reply_to(
     terms = X.terms_of_key(F.col("key")).alias("terms")
     queries = settle(parsed.groupBy("key").count().select("*", terms), "expressions", work)
     answers = settle(answer_expressions(queries, vectors, work, **sizes), "answers", work)
-    replies = lookup_join(parsed, answers, "key", spread=["id"], hot=hot_keys(queries, "key"))
+    # Every key has an answer; a left join spares a test for null keys before it.
+    replies = lookup_join(parsed, answers, "key", spread=["id"], how="left", hot=hot_keys(queries, "key"))
     return route(replies).select(
         F.col("id").alias("in_reply_to"),
         "ts",
@@ -80,8 +81,7 @@ def answer_expressions(queries: DataFrame, vectors: DataFrame, work: str | None
     queries = queries.select("key", "terms")
     asked = asked_terms(term_rows(queries), vectors, work)
     oov = oov_terms(queries, vectors, asked)
-    known = queries.join(oov, "key", "left_anti")
-    answers = answer_queries(known, vectors, asked=asked, **sizes)
+    answers = answer_queries(queries, vectors, asked=asked, **sizes)
     return queries.join(oov, "key", "left").join(answers, "key", "left")
 
 

@@ -17,7 +17,7 @@ from termspace.operators.vocabulary import word_rows
 from termspace.session import settle
 
 # Vectors of the most frequent words are sent to every task, up to this size.
-SENT_BYTES = 256 * 2**20
+SENT_BYTES = 128 * 2**20
 # Word vectors gathered at a time inside a task.
 _GATHER_BYTES = 32 * 2**20
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termspace.operators.skew import lookup_join
-from termspace.operators.vocabulary import word_rows
 
 NOUN_TAGS = ("NN",)
 
@@ -25,15 +24,11 @@ def lexicon_nouns(
     ``key`` names a column that tells the rows apart. Rows without such words
     get an empty list, rows without words null. ``balance`` goes to lookup_join.
     """
-    wanted = lexicon.filter(F.col("tag").isin(*tags)).select("word").distinct()
-    tokens = word_rows(df, words, key, positions=True)
-    nouns = lookup_join(tokens, wanted, "word", spread=[key, "pos"], **balance)
-    listed = nouns.groupBy(key).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("pos", "word"))), lambda s: s["word"]).alias(output)
-    )
-    found = F.coalesce(F.col(output), F.array().cast("array<string>"))
-    return (
-        df.select(key, F.col(words).isNotNull().alias("_has_words"))
-        .join(listed, key, "left")
-        .select(key, F.when(F.col("_has_words"), found).alias(output))
-    )
+    wanted = lexicon.filter(F.col("tag").isin(*tags)).select("word").distinct().withColumn("_noun", F.lit(True))
+    given = F.col(words).isNotNull().alias("_given")
+    tokens = df.select(key, given, F.posexplode_outer(words).alias("pos", "word"))
+    tagged = lookup_join(tokens, wanted, "word", spread=[key, "pos"], how="left", **balance)
+    # Only the nouns enter the partial lists, so a row per key and task is shuffled.
+    nouns = F.sort_array(F.collect_list(F.when(F.col("_noun"), F.struct("pos", "word"))))
+    listed = tagged.groupBy(key).agg(nouns.alias("_nouns"), F.first("_given").alias("_given"))
+    return listed.select(key, F.when(F.col("_given"), F.transform("_nouns", lambda s: s["word"])).alias(output))

@@ -25,11 +25,13 @@ POOL = 10  # ranks that are looked at
 SKIP = 1  # leading ranks that are dropped, whatever word they hold
 ANSWERS = 5
 
-# Query vectors are sent to every task up to this many rows (64 MiB at 500
+# Query vectors are sent to every task up to this size (16,777 queries at 500
 # dimensions); beyond it both sides are cut into cells and shuffled.
-SENT_QUERIES = 16_384
+SENT_BYTES = 64 * 2**20
 CELL_QUERIES = 16_384
 CELL_VECTORS = 131_072
+# Cells are not made narrower than this just to use more cores.
+MIN_CELL_VECTORS = 2_048
 
 # Working set inside a task: queries scored at a time, pairs rescored at a time.
 _QUERY_SLICE = 256
@@ -95,7 +97,7 @@ def top_k(
     vectors: DataFrame,
     pool: int = POOL,
     skip: int = SKIP,
-    sent_queries: int = SENT_QUERIES,
+    sent_queries: int | None = None,
     cell_queries: int = CELL_QUERIES,
     cell_vectors: int = CELL_VECTORS,
 ) -> DataFrame:
@@ -105,6 +107,7 @@ def top_k(
     query stands for, or null. Equal cosines are ordered by the term itself
     first, then by word. Exact: every query is scored against every word, block
     by block as matrix products, and only ``pool`` rows per query leave a block.
+    ``sent_queries`` overrides the number of queries that ``SENT_BYTES`` allows.
     """
     hits = _ranked_hits(queries, vectors, pool, sent_queries, cell_queries, cell_vectors)
     return hits.filter(F.col("rank") > skip)
@@ -113,6 +116,9 @@ def top_k(
 def _ranked_hits(queries, vectors, pool, sent_queries, cell_queries, cell_vectors) -> DataFrame:
     queries = queries.select("key", "term", F.col("vector").cast("array<double>").alias("vector"))
     vectors = vectors.select("word", F.col("vector").cast("array<float>").alias("vector"))
+    if sent_queries is None:
+        first = vectors.select(F.size("vector")).first()
+        sent_queries = SENT_BYTES // (8 * max(1, first[0] if first else 1))
     # Bounded fetch: never more than sent_queries + 1 rows come to the driver.
     fetched = queries.limit(sent_queries + 1).toArrow()
     if fetched.num_rows <= sent_queries:
@@ -143,8 +149,12 @@ def _score_sent(fetched: pa.Table, vectors: DataFrame, pool: int) -> DataFrame:
 def _score_cells(queries, vectors, pool, cell_queries, cell_vectors) -> DataFrame:
     """Both sides cut into blocks of bounded size; one task per pair of blocks."""
     queries = settle(queries, "queries")
+    n_vectors = vectors.count()
     q_blocks = math.ceil(queries.count() / cell_queries)
-    v_blocks = max(1, math.ceil(vectors.count() / cell_vectors))
+    # As many blocks of vectors as memory asks for, or more where cores would be idle.
+    idle = math.ceil(queries.sparkSession.sparkContext.defaultParallelism / q_blocks)
+    useful = math.ceil(n_vectors / MIN_CELL_VECTORS)
+    v_blocks = max(1, math.ceil(n_vectors / cell_vectors), min(idle, useful))
 
     def blocks(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

@@ -24,8 +24,10 @@ def fits(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYT
         column = F.col(field.name)
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             return F.coalesce(F.octet_length(column), F.lit(0))
-        if isinstance(field.dataType, T.NumericType):
+        if isinstance(field.dataType, (T.NumericType, T.BooleanType)):
             return F.lit(8)
+        if isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.NumericType):
+            return 8 * F.greatest(F.size(column), F.lit(1))
         # Nested values: at least as long as text as they are in memory.
         return F.coalesce(F.octet_length(F.to_json(F.array(column))), F.lit(0))
 
@@ -62,19 +64,22 @@ def lookup_join(
     """Join ``facts`` to ``table`` (one row per key) without piling up hot keys.
 
     A table that ``fits`` is broadcast and the facts stay where they are.
-    Otherwise, or if ``hot`` is given, the hot keys are split up: the rows of a
-    hot key are spread over several copies of its table row, by a hash of the
-    ``spread`` columns, which should tell the rows of a key apart. ``hot`` takes a known list from ``hot_keys``; otherwise the keys of
-    ``facts`` are counted (partial sums before the shuffle).
+    Otherwise the hot keys are split up: the rows of a hot key are spread over
+    several copies of its table row, by a hash of the ``spread`` columns, which
+    should tell the rows of a key apart. ``hot`` takes a known list from
+    ``hot_keys``; without it the keys of ``facts`` are counted (partial sums
+    before the shuffle).
     """
+    if broadcast_small and fits(table):
+        return facts.join(F.broadcast(table), key, how)
     if hot is None:
-        if broadcast_small and fits(table):
-            return facts.join(F.broadcast(table), key, how)
         hot = hot_keys(facts.groupBy(key).count(), key, rows_per_copy)
     copies = F.coalesce(F.col("_copies"), F.lit(1))
+    # A null key matches nothing, so its rows may go anywhere.
+    slots = F.when(F.col(key).isNull(), HOT_KEYS).otherwise(copies)
     left = (
         facts.join(F.broadcast(hot), key, "left")
-        .withColumn("_copy", F.pmod(F.xxhash64(*spread), copies))
+        .withColumn("_copy", F.pmod(F.xxhash64(*spread), slots))
         .drop("_copies")
     )
     right = (

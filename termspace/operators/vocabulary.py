@@ -8,16 +8,13 @@ from pyspark.sql import functions as F
 from termspace.session import settle
 
 
-def word_rows(df: DataFrame, words: str, *keep: str, positions: bool = False) -> DataFrame:
-    """(keep..., [pos,] word): one row per element of a token list.
+def word_rows(df: DataFrame, words: str, *keep: str) -> DataFrame:
+    """(keep..., word): one row per element of a token list.
 
     The outer form keeps the planner from testing the list for elements first,
     which would compute the tokens of every row a second time.
     """
-    if positions:
-        rows = df.select(*keep, F.posexplode_outer(words).alias("pos", "word"))
-    else:
-        rows = df.select(*keep, F.explode_outer(words).alias("word"))
+    rows = df.select(*keep, F.explode_outer(words).alias("word"))
     return rows.filter(F.col("word").isNotNull())
 
 

@@ -314,7 +314,7 @@ def vocabulary_min_count(spark, sf_dir) -> DataFrame:
 def word2vec_train(spark, sf_dir) -> DataFrame:
     """Train on the deduplicated articles; which words have a vector of which make."""
     texts = training.corpus(article_rows(spark, sf_dir))
-    _, trained = training.train_word2vec(texts, training.Training(num_partitions=8))
+    _, trained = training.train_word2vec(texts)
     finite = F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
     return trained.select(
         "word", "idx", "count", F.size("vector").cast("long").alias("dims"), (finite & (F.col("norm") > 0)).alias("ok")

@@ -77,7 +77,8 @@ def append_replies(batch: DataFrame, vectors: DataFrame, name: str, replies: str
         known = known.filter(F.col("reply_date").between(first, last))
         batch = batch.join(known.select(F.col("in_reply_to").alias("id")), "id", "left_anti")
     answered = reply_to(batch, vectors, name, link_base, work).withColumn("reply_date", F.to_date("ts"))
-    answered.write.mode("append").partitionBy("reply_date").parquet(replies)
+    # Few files per date, and a date with many replies in several tasks.
+    answered.hint("rebalance", "reply_date").write.mode("append").partitionBy("reply_date").parquet(replies)
     remove(spark, work)
 
 
