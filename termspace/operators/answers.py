@@ -81,7 +81,7 @@ def answer_expressions(queries: DataFrame, vectors: DataFrame, work: str | None
     queries = queries.select("key", "terms")
     asked = asked_terms(term_rows(queries), vectors, work)
     oov = oov_terms(queries, vectors, asked)
-    answers = answer_queries(queries, vectors, asked=asked, **sizes)
+    answers = answer_queries(queries, vectors, asked=asked, work=work, **sizes)
     return queries.join(oov, "key", "left").join(answers, "key", "left")
 
 

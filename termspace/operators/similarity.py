@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from termspace.functions.vector_math import scale
 from termspace.operators.skew import hot_keys, lookup_join
-from termspace.session import fill_cores, settle
+from termspace.session import settle
 
 POOL = 10  # ranks that are looked at
 SKIP = 1  # leading ranks that are dropped, whatever word they hold
@@ -100,6 +100,7 @@ def top_k(
     sent_queries: int | None = None,
     cell_queries: int = CELL_QUERIES,
     cell_vectors: int = CELL_VECTORS,
+    work: str | None = None,
 ) -> DataFrame:
     """(key, rank, word, sim): ranks skip+1 .. pool of all words by cosine.
 
@@ -107,13 +108,14 @@ def top_k(
     query stands for, or null. Equal cosines are ordered by the term itself
     first, then by word. Exact: every query is scored against every word, block
     by block as matrix products, and only ``pool`` rows per query leave a block.
-    ``sent_queries`` overrides the number of queries that ``SENT_BYTES`` allows.
+    ``sent_queries`` overrides the number of queries that ``SENT_BYTES`` allows;
+    ``work`` is the place for intermediate tables.
     """
-    hits = _ranked_hits(queries, vectors, pool, sent_queries, cell_queries, cell_vectors)
+    hits = _ranked_hits(queries, vectors, pool, sent_queries, cell_queries, cell_vectors, work)
     return hits.filter(F.col("rank") > skip)
 
 
-def _ranked_hits(queries, vectors, pool, sent_queries, cell_queries, cell_vectors) -> DataFrame:
+def _ranked_hits(queries, vectors, pool, sent_queries, cell_queries, cell_vectors, work) -> DataFrame:
     queries = queries.select("key", "term", F.col("vector").cast("array<double>").alias("vector"))
     vectors = vectors.select("word", F.col("vector").cast("array<float>").alias("vector"))
     if sent_queries is None:
@@ -124,7 +126,7 @@ def _ranked_hits(queries, vectors, pool, sent_queries, cell_queries, cell_vector
     if fetched.num_rows <= sent_queries:
         hits = _score_sent(fetched, vectors, pool)
     else:
-        hits = _score_cells(queries, vectors, pool, cell_queries, cell_vectors)
+        hits = _score_cells(settle(queries, "queries", work), vectors, pool, cell_queries, cell_vectors)
     best_first = Window.partitionBy("key").orderBy(F.col("sim").desc(), "other", "word")
     return (
         hits.withColumn("rank", F.row_number().over(best_first))
@@ -143,12 +145,11 @@ def _score_sent(fetched: pa.Table, vectors: DataFrame, pool: int) -> DataFrame:
             best.add(batch["word"], batch["vector"])
         yield from best.batches()
 
-    return fill_cores(vectors).mapInArrow(score, _HITS)
+    return vectors.mapInArrow(score, _HITS)
 
 
 def _score_cells(queries, vectors, pool, cell_queries, cell_vectors) -> DataFrame:
     """Both sides cut into blocks of bounded size; one task per pair of blocks."""
-    queries = settle(queries, "queries")
     n_vectors = vectors.count()
     q_blocks = math.ceil(queries.count() / cell_queries)
     # As many blocks of vectors as memory asks for, or more where cores would be idle.

@@ -23,12 +23,17 @@ def vocabulary(df: DataFrame, words: str = "words", min_count: int = 20) -> Data
     return word_rows(df, words).groupBy("word").agg(F.count("*").alias("count")).filter(F.col("count") >= min_count)
 
 
+def indexed_vocabulary(counts: DataFrame, work: str | None = None) -> DataFrame:
+    """(word, count, idx): most frequent word first, words of one count by the alphabet."""
+    return dense_index(counts.select("word", "count"), by_frequency(), work=work)
+
+
 def by_frequency() -> list[Column]:
     """Order of the vocabulary: most frequent word first, then by the word."""
     return [F.col("count").desc(), F.col("word").asc()]
 
 
-def dense_index(df: DataFrame, order: list[Column], name: str = "idx") -> DataFrame:
+def dense_index(df: DataFrame, order: list[Column], name: str = "idx", work: str | None = None) -> DataFrame:
     """Add the 0-based position of each row in ``order``, without a one-task sort.
 
     Rows are range-partitioned and sorted inside the partitions; a row's position
@@ -43,6 +48,7 @@ def dense_index(df: DataFrame, order: list[Column], name: str = "idx") -> DataFr
         .withColumn("_part", F.shiftright("_place", 33))
         .withColumn("_place", F.col("_place").bitwiseAND(F.lit(2**33 - 1))),
         "places",
+        work,
     )
     # One row per partition of the sort.
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_rows"))

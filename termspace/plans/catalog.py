@@ -18,7 +18,7 @@ from termspace.functions import expressions as X
 from termspace.functions import text
 from termspace.functions.vector_math import cosine
 from termspace.operators import answers, embedding, lexicon, relational, similarity
-from termspace.operators.vocabulary import by_frequency, dense_index, vocabulary
+from termspace.operators.vocabulary import indexed_vocabulary, vocabulary
 from termspace.plans import stages, training
 from termspace.schemas import ARTICLE
 from termspace.session import fill_cores, scratch_path, settle
@@ -43,7 +43,7 @@ def tokens(spark, sf_dir) -> DataFrame:
 
 def id_vectors(spark, sf_dir) -> DataFrame:
     """Embeddings as a vector table, the id as word."""
-    return table(spark, sf_dir, "embeddings").select(
+    return fill_cores(table(spark, sf_dir, "embeddings")).select(
         F.col("vec_id").cast("string").alias("word"), F.col("embedding").alias("vector")
     )
 
@@ -51,7 +51,7 @@ def id_vectors(spark, sf_dir) -> DataFrame:
 def word_vectors(spark, sf_dir) -> DataFrame:
     """Vocabulary of the documents; word number i has embedding number i modulo their count."""
     embeddings = table(spark, sf_dir, "embeddings")
-    indexed = dense_index(vocabulary(tokens(spark, sf_dir)), by_frequency())
+    indexed = indexed_vocabulary(vocabulary(tokens(spark, sf_dir)))
     dealt = indexed.withColumn("vec_id", F.col("idx") % F.lit(embeddings.count()))
     return dealt.join(embeddings, "vec_id").select("word", "idx", "count", F.col("embedding").alias("vector"))
 
@@ -369,7 +369,7 @@ def nearest_terms(spark, sf_dir) -> DataFrame:
 
 def nearest_words(spark, sf_dir) -> DataFrame:
     """Every word of the documents; many words share a vector, so ties are common."""
-    rows = settle(word_vectors(spark, sf_dir), "vectors")
+    rows = fill_cores(settle(word_vectors(spark, sf_dir), "vectors"))
     queries = rows.select(F.col("word").alias("key"), F.col("word").alias("term"))
     return similarity.nearest_terms(queries, rows).select("key", "rank", "word", rounded("sim"))
 

@@ -65,10 +65,11 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def fill_cores(df: DataFrame) -> DataFrame:
-    """Spread a table that comes in fewer partitions than there are cores.
+    """Spread a table that is read in fewer partitions than there are cores.
 
     Meant before costly expressions on a few small files. A table of more
-    partitions, which any large one is, is left where it is.
+    partitions, which any large one is, is left where it is. Only for tables as
+    they are read: to count the partitions of a derived one is to compute it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
