@@ -45,14 +45,15 @@ def read_article_files(spark: SparkSession, path: str | list[str], compressed: s
     Whatever stands before the line that begins with the article tag is dropped.
     A file without such a line has an empty ``xml``.
     """
-    if compressed is None:
-        files = spark.read.text(path, wholetext=True)
-        return files.select(F.col("_metadata.file_path").alias("source_file"), article_block("value").alias("xml"))
-    if compressed != "gz":
-        raise ValueError(f"compressed: gz, not {compressed!r}")
-    archives = spark.read.format("binaryFile").load(path).select("path", "content")
-    members = archives.mapInArrow(_archive_members, "source_file string, value string")
-    return members.select("source_file", article_block("value").alias("xml"))
+    return _file_articles(spark.read.format("binaryFile").load(path), compressed)
+
+
+def _file_articles(files: DataFrame, compressed: str | None = None) -> DataFrame:
+    if compressed not in (None, "gz"):
+        raise ValueError(f"compressed: gz or None, not {compressed!r}")
+    texts = _archive_texts if compressed else _file_texts
+    rows = files.select("path", "content").mapInArrow(texts, "source_file string, value string")
+    return rows.select("source_file", article_block("value").alias("xml"))
 
 
 def article_block(text: Column | str) -> Column:
@@ -60,17 +61,32 @@ def article_block(text: Column | str) -> Column:
     return F.regexp_extract(text, r"(?ms)^<article.*", 0)
 
 
-def _archive_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _file_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [_decoded(content.as_buffer().to_pybytes()) for content in batch["content"]]
+        yield pa.RecordBatch.from_pydict({"source_file": batch["path"], "value": pa.array(texts, pa.string())})
+
+
+def _archive_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             with tarfile.open(fileobj=io.BytesIO(content.as_buffer()), mode="r:gz") as archive:
                 for member in archive:
                     if member.isfile():
-                        text = archive.extractfile(member).read().decode("utf-8", "replace")
+                        text = _decoded(archive.extractfile(member).read())
                         row = {"source_file": [f"{path}!{member.name}"], "value": [text]}
                         yield pa.RecordBatch.from_pydict(row)
 
 
+def _decoded(data: bytes) -> str:
+    """Text by the encoding that the XML header declares, UTF-8 without one."""
+    declared = re.search(rb"""encoding=["']([A-Za-z0-9._-]+)["']""", data[:1000])
+    try:
+        return data.decode(declared.group(1).decode() if declared else "utf-8", "replace")
+    except LookupError:
+        return data.decode("utf-8", "replace")
+
+
 def extract_articles(
     df: DataFrame, style: dict[str, str] = JATS_STYLE, nested: str = "repeat", keep: tuple[str, ...] = ()
 ) -> DataFrame:

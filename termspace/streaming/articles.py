@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from termspace.schemas import JATS_STYLE
-from termspace.sources.articles import ARTICLE_END, _collection_articles, article_block, extract_articles
+from termspace.schemas import FILES, JATS_STYLE
+from termspace.sources.articles import ARTICLE_END, _collection_articles, _file_articles, extract_articles
 
 
 def convert_new_files(
@@ -29,8 +29,7 @@ def convert_new_files(
     if kind == "collection":
         raw = _collection_articles(reader.option("lineSep", ARTICLE_END).text(source))
     elif kind == "files":
-        files = reader.text(source, wholetext=True)
-        raw = files.select(F.col("_metadata.file_path").alias("source_file"), article_block("value").alias("xml"))
+        raw = _file_articles(reader.format("binaryFile").schema(FILES).load(source))
     else:
         raise ValueError(f"kind: collection or files, not {kind!r}")
     status = F.when(F.col("error").isNull(), "article").otherwise("quarantine")

@@ -80,6 +80,14 @@ def test_single_files(spark, tmp_path):
     assert [r["error"] for r in bad] == ["no article"]
 
 
+def test_declared_encoding(spark, tmp_path):
+    article = TWO.replace("sub &amp; text", "caf\u00e9")
+    (tmp_path / "a.xml").write_bytes(f'<?xml version="1.0" encoding="ISO-8859-1"?>\n{article}'.encode("latin-1"))
+    (tmp_path / "b.xml").write_bytes(f'<?xml version="1.0"?>\n{article}'.encode())
+    good = articles.extract_articles(articles.read_article_files(spark, str(tmp_path))).collect()
+    assert [r["fulltext"] for r in good] == ["caf\u00e9"] * 2
+
+
 def test_archive_members(spark, tmp_path):
     with tarfile.open(tmp_path / "x.tar.gz", "w:gz") as archive:
         for name, text in (("1.xml", "junk\n" + ONE), ("d/2.xml", TWO)):
