@@ -35,22 +35,20 @@ def embed_documents(
 
     Tokens without a vector count in the divisor; a row without any known token
     gets zeros. ``key`` tells the rows apart; ``vectors`` has (word, vector) and
-    may have ``count``.
+    may have ``idx``, the position by frequency, and ``count``.
 
-    The vectors of the most frequent words go to every task as far as
-    ``sent_bytes`` allows, so that most tokens are summed where they are read.
-    Only if words remain beyond that are the other tokens shuffled to their
-    vectors, and the two sums added.
+    Vectors go to every task as far as ``sent_bytes`` allows: all of them, or
+    else those of the most frequent words (by ``idx``), so that most tokens are
+    summed where they are read. Only if words remain beyond that are the other
+    tokens shuffled to their vectors, and the two sums added.
     """
     first = vectors.select(F.size("vector")).first()
     dimensions = first[0] if first else 0
-    limit = max(1, sent_bytes // max(1, 4 * dimensions))
-    order = [F.col("count").desc(), F.col("word")] if "count" in vectors.columns else [F.col("word")]
-    typed = F.col("vector").cast("array<float>").alias("vector")
-    # Bounded fetch: so many rows of so many floats, and no more.
-    fetched = vectors.orderBy(*order).select("word", typed).limit(limit + 1).toArrow()
-    whole = fetched.num_rows <= limit
-    sent = fetched.slice(0, limit)
+    limit = sent_bytes // max(1, 4 * dimensions)
+    whole = vectors.count() <= limit
+    frequent = vectors if whole else vectors.filter(F.col("idx") < limit if "idx" in vectors.columns else F.lit(False))
+    # Bounded fetch: at most ``limit`` rows of so many floats.
+    sent = frequent.select("word", F.col("vector").cast("array<float>").alias("vector")).limit(limit).toArrow()
     sums = _sum_sent(df, sent, key, words, dimensions, with_rest=not whole)
     if not whole:
         sums = settle(sums, "sums", work)
@@ -70,7 +68,7 @@ def _sum_sent(df: DataFrame, sent: pa.Table, key: str, words: str, dimensions: i
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = known.value["word"].combine_chunks()
         matrix = known.value["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        matrix = matrix.reshape(len(vocabulary), -1)
+        matrix = matrix.reshape(len(vocabulary), dimensions)
         for batch in batches:
             lists = pc.fill_null(batch.column(1), [])
             tokens, row = pc.list_flatten(lists), pc.list_parent_indices(lists).to_numpy()

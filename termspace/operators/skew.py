@@ -18,7 +18,7 @@ BROADCAST_BYTES = 32 * 2**20
 
 
 def fits(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Whether a table is small enough to broadcast; looks at ``rows`` + 1 rows at most."""
+    """Whether a table is small enough to broadcast, by its row count and then its measured size."""
 
     def width(field: T.StructField):
         column = F.col(field.name)
@@ -31,11 +31,12 @@ def fits(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYT
         # Nested values: at least as long as text as they are in memory.
         return F.coalesce(F.octet_length(F.to_json(F.array(column))), F.lit(0))
 
+    if table.count() > rows:
+        return False
     total = F.lit(0).cast("long")
     for field in table.schema.fields:
         total = total + width(field)
-    counted = table.limit(rows + 1).agg(F.count("*"), F.sum(total)).first()
-    return counted[0] <= rows and (counted[1] or 0) <= size
+    return (table.agg(F.sum(total)).first()[0] or 0) <= size
 
 
 def hot_keys(counts: DataFrame, key: str, rows_per_copy: int = ROWS_PER_COPY) -> DataFrame:

@@ -27,10 +27,10 @@ def read_article_collection(spark: SparkSession, path: str | list[str], spread:
     one task; ``spread`` shuffles its articles to that many partitions before
     they are parsed.
     """
-    return _collection_articles(spark.read.option("lineSep", ARTICLE_END).text(path), spread)
+    return collection_articles(spark.read.option("lineSep", ARTICLE_END).text(path), spread)
 
 
-def _collection_articles(pieces: DataFrame, spread: int | None = None) -> DataFrame:
+def collection_articles(pieces: DataFrame, spread: int | None = None) -> DataFrame:
     articles = pieces.select(
         F.col("_metadata.file_path").alias("source_file"),
         F.regexp_extract("value", r"(?s)<article[\s>].*", 0).alias("article"),
@@ -45,10 +45,10 @@ def read_article_files(spark: SparkSession, path: str | list[str], compressed: s
     Whatever stands before the line that begins with the article tag is dropped.
     A file without such a line has an empty ``xml``.
     """
-    return _file_articles(spark.read.format("binaryFile").load(path), compressed)
+    return file_articles(spark.read.format("binaryFile").load(path), compressed)
 
 
-def _file_articles(files: DataFrame, compressed: str | None = None) -> DataFrame:
+def file_articles(files: DataFrame, compressed: str | None = None) -> DataFrame:
     if compressed not in (None, "gz"):
         raise ValueError(f"compressed: gz or None, not {compressed!r}")
     texts = _archive_texts if compressed else _file_texts

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from termspace.schemas import FILES, JATS_STYLE
-from termspace.sources.articles import ARTICLE_END, _collection_articles, _file_articles, extract_articles
+from termspace.sources.articles import ARTICLE_END, collection_articles, file_articles, extract_articles
 
 
 def convert_new_files(
@@ -27,9 +27,9 @@ def convert_new_files(
     """
     reader = spark.readStream
     if kind == "collection":
-        raw = _collection_articles(reader.option("lineSep", ARTICLE_END).text(source))
+        raw = collection_articles(reader.option("lineSep", ARTICLE_END).text(source))
     elif kind == "files":
-        raw = _file_articles(reader.format("binaryFile").schema(FILES).load(source))
+        raw = file_articles(reader.format("binaryFile").schema(FILES).load(source))
     else:
         raise ValueError(f"kind: collection or files, not {kind!r}")
     status = F.when(F.col("error").isNull(), "article").otherwise("quarantine")

@@ -154,12 +154,14 @@ DOCS = [(1, ["sun", "moon", "sun", "what"]), (2, ["what"]), (3, []), (4, None),
 
 
 @pytest.mark.parametrize("sent_bytes", [10**6, 5 * 12, 1])
-@pytest.mark.parametrize("counted", [False, True])
-def test_document_vectors(spark, sent_bytes, counted):
+@pytest.mark.parametrize("indexed", [False, True])
+def test_document_vectors(spark, sent_bytes, indexed):
     df = spark.createDataFrame(DOCS, "doc int, words array<string>")
     vectors = table(spark, WORDS)
-    if counted:
-        vectors = vectors.withColumn("count", F.length("word"))
+    if indexed:
+        order = {w: i for i, w in enumerate(WORDS)}
+        place = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])[F.col("word")]
+        vectors = vectors.withColumn("idx", place).withColumn("count", 100 - place)
     found = embedding.embed_documents(df, vectors, "doc", sent_bytes=sent_bytes, rows_per_copy=2, broadcast_small=False)
     for r in found.collect():
         words = dict(DOCS)[r["doc"]] or []
