@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termspace.llm import decontaminate, exact_dedup, language, quality, url_filter
+from termspace.llm import decontaminate, exact_dedup, html_extract, language, quality, simhash, token_output, url_filter
 from termspace.llm.common import lowered, remainder, table
+from termspace.session import scratch_path
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+END_ID = 2
 
 # Fixed by the query: (host, path, verdict).
 URL_RULES = [
@@ -30,6 +35,25 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page; weights from the pages that mark theirs."""
+    pages = table(spark, sf_dir, "pages")
+    found = html_extract.extract(pages, html_extract.fit_weights(pages), ["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum in the token files, read back from them."""
+    folder = scratch_path(spark, "tokens")
+    token_output.write_tokens(table(spark, sf_dir, "documents"), folder, TOKENIZER, END_ID)
+    return token_output.read_documents(spark, folder)
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the component of near duplicates it is in."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality; labels of a fifth of the documents are kept back."""
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -66,7 +90,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_url_filter, op8_quality, op9_language, op10_decontaminate)}
+QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_url_filter, op4_html_extract, op6_token_output, op7_simhash, op8_quality, op9_language, op10_decontaminate)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _NO_WORD = r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
