@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termspace.llm import decontaminate, exact_dedup, html_extract, language, quality, simhash, token_output, url_filter
+from termspace.llm import decontaminate, exact_dedup, html_extract, interpolation_lm, language, mixing, quality, simhash, token_output, url_filter
 from termspace.llm.common import lowered, remainder, table
 from termspace.session import scratch_path
 
@@ -35,6 +35,22 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's chance under the language model; a fifth of the documents is not learned from."""
+    part = remainder("doc_id", 5)
+    documents = table(spark, sf_dir, "documents")
+    scored, model = interpolation_lm.score(documents, train=part != 1, held=part == 0)
+    return scored.select(
+        "doc_id",
+        (part == 1).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page; weights from the pages that mark theirs."""
     pages = table(spark, sf_dir, "pages")
@@ -42,6 +58,19 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    counts = mixing.mix_counts(table(spark, sf_dir, "documents"))
+    each = counts.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), "_rows")))
+    return each.select(
+        F.col("_id").alias("doc_id"),
+        F.col("_size").alias("size"),
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        (F.col("_size") * F.col("_copies")).alias("taken"),
+    )
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and checksum in the token files, read back from them."""
     folder = scratch_path(spark, "tokens")
@@ -90,7 +119,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_url_filter, op4_html_extract, op6_token_output, op7_simhash, op8_quality, op9_language, op10_decontaminate)}
+QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_url_filter, op3_lm_score, op4_html_extract, op5_mixing, op6_token_output, op7_simhash, op8_quality, op9_language, op10_decontaminate)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _NO_WORD = r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
