@@ -218,7 +218,8 @@ def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sour
     taken = counts.select(row_key("_id", "_source", "_size").alias(key), F.col("_copies").alias(copies))
     taken = settle(taken, "taken", work)
     given = docs.withColumn(key, _given_key(doc_id, text, source))
-    repeated = given.join(taken, key).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
+    # Alike at every size: both sides are shuffled by the key, whose rows are spread evenly.
+    repeated = given.join(taken.hint("merge"), key).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
     return repeated.drop(key, copies, copy)
 
 
