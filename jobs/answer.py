@@ -35,7 +35,6 @@ def main(args: argparse.Namespace) -> None:
         args.replies,
         args.checkpoint,
         {"processingTime": args.every},
-        args.watermark,
         args.link,
     )
     query.awaitTermination()
@@ -51,5 +50,4 @@ if __name__ == "__main__":
     parser.add_argument("--stream", action="store_true")
     parser.add_argument("--checkpoint")
     parser.add_argument("--every", default=mentions.POLL)
-    parser.add_argument("--watermark", default=mentions.WATERMARK)
     main(parser.parse_args())

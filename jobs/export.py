@@ -14,9 +14,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from termspace.functions.text import concat_columns, regex_tokens  # noqa: E402
 from termspace.operators.vocabulary import vocabulary  # noqa: E402
-from termspace.plans.training import corpus  # noqa: E402
+from termspace.plans.training import corpus, tokenized  # noqa: E402
 from termspace.session import session  # noqa: E402
 from termspace.sources import vectors  # noqa: E402
 
@@ -25,9 +24,7 @@ def main(args: argparse.Namespace) -> None:
     spark = session("termspace-export")
     plain = vectors.read_vectors(spark, args.input)
     if args.articles:
-        words = corpus(spark.read.parquet(args.articles)).select(
-            regex_tokens(concat_columns("abstract", "fulltext")).alias("words")
-        )
+        words = tokenized(corpus(spark.read.parquet(args.articles)))
         counts = vocabulary(words, min_count=1).join(plain.select("word"), "word", "left_semi")
     else:
         counts = plain.select("word", F.lit(0).cast("long").alias("count"))

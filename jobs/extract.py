@@ -31,14 +31,24 @@ def main(args: argparse.Namespace) -> None:
     if args.style:
         style = json.loads("\n".join(r["value"] for r in spark.read.text(args.style).collect()))
     kind = "collection" if args.source in COLLECTIONS else "files"
-    if args.checkpoint and not args.compressed:
-        convert_new_files(spark, args.input, args.output, args.checkpoint, kind, style).awaitTermination()
+    if args.compressed and kind == "collection":
+        raise SystemExit("--compressed is for single articles")
+    packed = "gz" if args.compressed else None
+    if args.checkpoint:
+        if args.json:
+            raise SystemExit("--checkpoint writes parquet; leave out --json")
+        convert_new_files(
+            spark, args.input, args.output, args.checkpoint, kind, style, compressed=packed, spread=args.spread
+        ).awaitTermination()
         return
     if kind == "collection":
         raw = articles.read_article_collection(spark, args.input, args.spread)
     else:
-        raw = articles.read_article_files(spark, args.input, "gz" if args.compressed else None)
+        raw = articles.read_article_files(spark, args.input, packed)
     rows = articles.extract_articles(raw, style)
+    if kind == "collection":
+        damaged = articles.damaged_files(spark, args.input)
+        rows = rows.unionByName(damaged, allowMissingColumns=True)
     if args.json:
         work = scratch_path(spark, "extract")
         good, bad = articles.split_quarantine(settle(rows, "rows", work))

@@ -48,7 +48,7 @@ if __name__ == "__main__":
     parser.add_argument("--vectorSize", type=int, default=500)
     parser.add_argument("--minCount", type=int, default=20)
     parser.add_argument("--maxIter", type=int, default=1)
-    parser.add_argument("--numPartitions", type=int, help="tasks that train at the same time; all cores if not given")
+    parser.add_argument("--numPartitions", type=int, help="tasks that train at the same time; derived from tokens and vocabulary if not given")
     parser.add_argument("--windowSize", type=int, default=5)
     parser.add_argument("--stepSize", type=float, default=0.025)
     parser.add_argument("--seed", type=int, default=42)

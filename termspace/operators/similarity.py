@@ -12,8 +12,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,22 +72,24 @@ def signed_sum(queries: DataFrame, vectors: DataFrame, asked: DataFrame | None =
     """(key, vector): sum of sign * vector over the terms of a query.
 
     ``queries``: (key, terms array<struct<pos, term, sign>>). A query with a term
-    that has no vector gives no row (see ``oov_terms``). The sum is a Spark ML
-    vector aggregate, so parts are summed before the shuffle.
+    that has no vector gives no row (see ``oov_terms``). The few terms of a query
+    are gathered in one row and added in their order, in double precision: what
+    cancels out leaves nothing behind, and the result does not depend on the
+    partitions. Hot terms are split by the lookup before.
     """
     terms = term_rows(queries)
     found = lookup_terms(terms, asked_terms(terms, vectors) if asked is None else asked, **balance)
-    signed = array_to_vector(scale(F.col("vector"), F.col("sign")))
-    return (
+    signed = scale(F.col("vector").cast("array<double>"), F.col("sign"))
+    gathered = (
         found.groupBy("key")
-        .agg(
-            Summarizer.sum(signed).alias("total"),
-            F.count("*").alias("n_found"),
-            F.first("n_terms").alias("n_terms"),
-        )
-        .filter("n_found = n_terms")
-        .select("key", vector_to_array("total").alias("vector"))
+        .agg(F.sort_array(F.collect_list(F.struct("pos", signed.alias("part")))).alias("parts"), F.first("n_terms").alias("n_terms"))
+        .filter(F.size("parts") == F.col("n_terms"))
     )
+    rest = F.slice("parts", F.lit(2), F.size("parts"))
+    add = lambda total, s: F.zip_with(total, s["part"], lambda a, b: a + b)
+    # Adding zero turns the negative zeros that are left over into zeros.
+    total = F.transform(F.aggregate(rest, F.col("parts")[0]["part"], add), lambda x: x + F.lit(0.0))
+    return gathered.select("key", total.alias("vector"))
 
 
 def top_k(
@@ -121,12 +121,12 @@ def _ranked_hits(queries, vectors, pool, sent_queries, cell_queries, cell_vector
     if sent_queries is None:
         first = vectors.select(F.size("vector")).first()
         sent_queries = SENT_BYTES // (8 * max(1, first[0] if first else 1))
-    # Bounded fetch: never more than sent_queries + 1 rows come to the driver.
-    fetched = queries.limit(sent_queries + 1).toArrow()
-    if fetched.num_rows <= sent_queries:
-        hits = _score_sent(fetched, vectors, pool)
+    # Written once, then counted: what came before the queries is not run again for either way.
+    queries = settle(queries, "queries", work)
+    if queries.count() <= sent_queries:
+        hits = _score_sent(queries.toArrow(), vectors, pool)
     else:
-        hits = _score_cells(settle(queries, "queries", work), vectors, pool, cell_queries, cell_vectors)
+        hits = _score_cells(queries, vectors, pool, cell_queries, cell_vectors)
     best_first = Window.partitionBy("key").orderBy(F.col("sim").desc(), "other", "word")
     return (
         hits.withColumn("rank", F.row_number().over(best_first))
@@ -220,16 +220,35 @@ class BestHits:
         block = _matrix(vectors)
         norms = np.sqrt((block**2).sum(axis=1))
         unit = np.divide(block, norms[:, None], out=np.zeros_like(block), where=norms[:, None] > 0)
-        found = [self.kept]
+        found = [self.kept, self._zero_hits(words)]
         for start in range(0, len(self.keys), _QUERY_SLICE):
             queries, rows = self._near(unit, slice(start, start + _QUERY_SLICE))
+            own = []
             for first in range(0, len(rows), _PAIR_SLICE):
                 r = rows[first : first + _PAIR_SLICE]
                 q = queries[first : first + _PAIR_SLICE] + start
                 sim = _row_cosines(block[r], self.queries[q], norms[r], self.norms[q])
-                found.append(self._hits(q, sim, words.take(pa.array(r))))
+                own.append(self._hits(q, sim, words.take(pa.array(r))))
+                # However many rows tie, no more than the pool of each query is held.
+                if len(own) > 8:
+                    own = [self._best(pa.concat_tables(own))[0]]
+            if own:
+                found.append(self._best(pa.concat_tables(own))[0])
         self._keep(pa.concat_tables(found))
 
+    def _zero_hits(self, words: pa.Array) -> pa.Table:
+        """Hits of queries without length: they tie with every word, so the order of the words decides."""
+        zero = np.flatnonzero(self.norms == 0)
+        first = pc.sort_indices(words)[: self.pool]
+        query = np.repeat(zero, len(first))
+        row = np.tile(first.to_numpy(), len(zero))
+        # The query's own term goes before its equals.
+        own = pc.index_in(self.terms.take(pa.array(zero)), words)
+        has = own.is_valid().to_numpy(zero_copy_only=False)
+        query, row = np.r_[query, zero[has]], np.r_[row, own.drop_null().to_numpy()]
+        pairs = np.unique(np.stack([query, row], axis=1).astype(np.int64), axis=0)
+        return self._hits(pairs[:, 0], np.zeros(len(pairs)), words.take(pa.array(pairs[:, 1])))
+
     def _near(self, unit: np.ndarray, part: slice) -> tuple[np.ndarray, np.ndarray]:
         """(query, row) pairs that may be among the best."""
         asked, lengths = self.queries[part], self.norms[part]
@@ -239,17 +258,24 @@ class BestHits:
         if len(unit) > self.pool:
             in_block = np.partition(sims, len(unit) - self.pool, axis=1)[:, len(unit) - self.pool]
             floor = np.maximum(floor, in_block)
-        return np.nonzero(sims >= (floor - _MARGIN)[:, None])
+        near = sims >= (floor - _MARGIN)[:, None]
+        near[lengths == 0] = False
+        return np.nonzero(near)
 
-    def _keep(self, hits: pa.Table) -> None:
+    def _best(self, hits: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+        """The first ``pool`` hits of every query, and query and place of all hits in order."""
         hits = hits.take(pc.sort_indices(hits, sort_keys=self._RANKING))
         query = hits["query"].to_numpy()
         # Place within the query: position minus the position of the query's first hit.
         firsts = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
         place = np.arange(len(query)) - np.repeat(firsts, np.diff(np.r_[firsts, len(query)]))
-        self.kept = hits.filter(pa.array(place < self.pool)).combine_chunks()
+        kept = place < self.pool
+        return hits.filter(pa.array(kept)).combine_chunks(), query[kept], place[kept]
+
+    def _keep(self, hits: pa.Table) -> None:
+        self.kept, query, place = self._best(hits)
         last = place == self.pool - 1
-        self.floor[query[last]] = hits["sim"].to_numpy()[last]
+        self.floor[query[last]] = self.kept["sim"].to_numpy()[last]
 
     def batches(self) -> list[pa.RecordBatch]:
         hits = self.kept

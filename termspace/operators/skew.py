@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from termspace.session import settle
+
 # One task should meet about this many rows of one key.
 ROWS_PER_COPY = 200_000
-# At most this many keys are split; the list of them is what gets broadcast.
-# A key outside the list holds less than 1/HOT_KEYS of the rows.
-HOT_KEYS = 4_096
+# Slots that rows without a key are spread over.
+NULL_SLOTS = 4_096
 
 # A table within both bounds is broadcast.
 BROADCAST_ROWS = 500_000
@@ -31,25 +32,17 @@ def fits(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYT
         # Nested values: at least as long as text as they are in memory.
         return F.coalesce(F.octet_length(F.to_json(F.array(column))), F.lit(0))
 
-    if table.count() > rows:
-        return False
     total = F.lit(0).cast("long")
     for field in table.schema.fields:
         total = total + width(field)
-    return (table.agg(F.sum(total)).first()[0] or 0) <= size
+    n, held = table.agg(F.count("*"), F.sum(total)).first()
+    return n <= rows and (held or 0) <= size
 
 
 def hot_keys(counts: DataFrame, key: str, rows_per_copy: int = ROWS_PER_COPY) -> DataFrame:
-    """(key, copies) of the keys worth splitting, from a table (key, count).
-
-    At most HOT_KEYS rows, so it may be broadcast.
-    """
-    return (
-        counts.filter(F.col("count") > rows_per_copy)
-        .orderBy(F.col("count").desc(), key)
-        .limit(HOT_KEYS)
-        .select(key, F.ceil(F.col("count") / rows_per_copy).cast("long").alias("_copies"))
-    )
+    """(key, copies) of every key worth splitting, from a table (key, count)."""
+    hot = counts.filter(F.col("count") > rows_per_copy)
+    return hot.select(key, F.ceil(F.col("count") / rows_per_copy).cast("long").alias("_copies"))
 
 
 def lookup_join(
@@ -75,16 +68,19 @@ def lookup_join(
         return facts.join(F.broadcast(table), key, how)
     if hot is None:
         hot = hot_keys(facts.groupBy(key).count(), key, rows_per_copy)
+    # The list is settled before it is measured; beyond the bound it is joined like any table.
+    hot = settle(hot, "hot")
+    hot = F.broadcast(hot) if fits(hot) else hot
     copies = F.coalesce(F.col("_copies"), F.lit(1))
     # A null key matches nothing, so its rows may go anywhere.
-    slots = F.when(F.col(key).isNull(), HOT_KEYS).otherwise(copies)
+    slots = F.when(F.col(key).isNull(), NULL_SLOTS).otherwise(copies)
     left = (
-        facts.join(F.broadcast(hot), key, "left")
+        facts.join(hot, key, "left")
         .withColumn("_copy", F.pmod(F.xxhash64(*spread), slots))
         .drop("_copies")
     )
     right = (
-        table.join(F.broadcast(hot), key, "left")
+        table.join(hot, key, "left")
         .withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
         .drop("_copies")
     )

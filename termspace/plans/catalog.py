@@ -434,6 +434,85 @@ def mention_stream(spark, sf_dir) -> DataFrame:
     return table_now.select("in_reply_to", "author", "kind", "reply", "url")
 
 
+# Inputs that go wrong easily.
+
+
+def dedup_null_keys(spark, sf_dir) -> DataFrame:
+    """As dedup_by_key, but documents in French have no key, and all of them stay."""
+    doi = F.when(F.col("lang") != "fr", F.md5("text"))
+    keyed = documents(spark, sf_dir).select(doi.alias("doi"), "doc_id", "source")
+    return relational.dedup(keyed, ["doi"], ["source", "doc_id"])
+
+
+def corpus_rows(spark, sf_dir) -> DataFrame:
+    """The training corpus of articles of one file, some without doi, some without one of their texts."""
+    lines, kind = lines_of("text"), F.substring(F.md5("text"), 1, 1)
+    rows = documents(spark, sf_dir).select(
+        F.when(~kind.isin("0", "1", "2", "3"), F.md5("text")).alias("doi"),
+        F.when(~kind.isin("2", "4"), lines[0]).alias("abstract"),
+        F.when(~kind.isin("3", "5"), F.array_join(after_first(lines), " ")).alias("fulltext"),
+        F.lit("one file").alias("source_file"),
+    )
+    return training.corpus(rows)
+
+
+def scalar_json_marks(spark, sf_dir) -> DataFrame:
+    """Single values that begin like JSON, written as scalars and read back."""
+    mark = F.get(F.array(*map(F.lit, ["[", "{", '"', "[1] "])), (F.col("doc_id") % 4).cast("int"))
+    value = F.when(F.col("doc_id") % 5 == 0, "").otherwise(F.concat(mark, "source"))
+    rows = article_rows(spark, sf_dir).withColumn("doc_id", F.substr("doi", F.lit(6)).cast("long"))
+    path = scratch_path(spark, "json")
+    marked = rows.join(documents(spark, sf_dir).select("doc_id", "source"), "doc_id")
+    records.write_scalar_articles(marked.select("doi", F.array(value).alias("disciplines"), value.alias("abstract")), path)
+    return records.read_articles(spark, path).select("doi", text_list("disciplines"), "abstract")
+
+
+def cancelled_sums(spark, sf_dir) -> DataFrame:
+    """Sums of terms that cancel out, wholly or but for one."""
+    vec = F.col("vec_id")
+    a, b, c = (F.concat(F.lit(" "), (vec + i).cast("string"), F.lit(" ")) for i in range(3))
+    plus, minus = F.lit("+"), F.lit("-")
+    expression = (
+        F.when(vec % 3 == 0, F.concat(a, plus, b, plus, c, minus, a, minus, b, minus, c))
+        .when(vec % 3 == 1, F.concat(a, plus, b, minus, b))
+        .otherwise(F.concat(a, minus, a))
+    )
+    queries = table(spark, sf_dir, "embeddings").select(
+        vec.cast("string").alias("key"), X.parse_expression(F.trim(expression)).alias("terms")
+    )
+    summed = similarity.signed_sum(queries, id_vectors(spark, sf_dir))
+    return summed.select("key", F.posexplode("vector").alias("dim", "value")).select(
+        "key", F.col("dim").cast("long").alias("dim"), "value"
+    )
+
+
+def zero_queries(spark, sf_dir) -> DataFrame:
+    """Nearest words of a - a: every word ties, so the order of the words decides."""
+    vec = F.col("vec_id").cast("string")
+    queries = table(spark, sf_dir, "embeddings").select(
+        vec.alias("key"), X.parse_expression(F.concat(vec, F.lit(" - "), vec)).alias("terms")
+    )
+    return similarity.term_arithmetic(queries, id_vectors(spark, sf_dir)).select("key", "rank", "word", rounded("sim"))
+
+
+def mention_lots(spark, sf_dir) -> DataFrame:
+    """The events in three lots: repeated ids, a lot of days before, a lot without times; then once more."""
+    given = mentions(table(spark, sf_dir, "events")).withColumn("lot", F.col("id") % 3)
+    ts = F.when(F.col("lot") == 1, F.col("ts") - F.expr("INTERVAL 3 DAYS")).when(F.col("lot") == 0, F.col("ts"))
+    given = given.withColumn("ts", ts)
+    folder, replies, checkpoint = (scratch_path(spark, x) for x in ("lots", "replies", "progress"))
+    for lots in ([0], [0, 1], [1, 2]):
+        given.filter(F.col("lot").isin(lots)).drop("lot").write.mode("append").parquet(folder)
+        # The second run finds nothing new.
+        for _ in range(2):
+            stream = spark.readStream.schema(given.drop("lot").schema).parquet(folder)
+            mention_stream_job.answer_stream(
+                stream, id_vectors(spark, sf_dir), BOT, replies, checkpoint, trigger={"availableNow": True}
+            ).awaitTermination()
+    found = mention_stream_job.read_replies(spark, replies)
+    return found.select("in_reply_to", "author", "kind", "reply", "url")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -473,5 +552,11 @@ QUERIES = {
         permalink,
         route_replies,
         mention_stream,
+        dedup_null_keys,
+        corpus_rows,
+        scalar_json_marks,
+        cancelled_sums,
+        zero_queries,
+        mention_lots,
     )
 }

@@ -351,3 +351,47 @@ SQL = {
     "route_replies": _REPLIES,
     "mention_stream": _REPLIES,
 }
+
+SQL |= {
+    "dedup_null_keys": """
+      SELECT CASE WHEN lang <> 'fr' THEN md5(text) END AS doi, doc_id, source FROM documents
+      QUALIFY lang = 'fr'
+           OR row_number() OVER (PARTITION BY lang <> 'fr', md5(text) ORDER BY source, doc_id) = 1
+    """,
+    "corpus_rows": """
+      WITH marked AS (
+        SELECT md5(text) AS m, md5(text)[1] AS kind, string_split(text, chr(10)) AS lines FROM documents
+      ), texts AS (
+        SELECT CASE WHEN kind NOT IN ('0', '1', '2', '3') THEN m END AS doi,
+               CASE WHEN kind NOT IN ('2', '4') THEN lines[1] ELSE '' END AS abstract,
+               CASE WHEN kind NOT IN ('3', '5') THEN coalesce(array_to_string(lines[2:], ' '), '') ELSE '' END AS fulltext
+        FROM marked
+      )
+      SELECT DISTINCT * FROM texts WHERE doi IS NOT NULL
+      UNION ALL SELECT * FROM texts WHERE doi IS NULL
+    """,
+    "scalar_json_marks": """
+      SELECT '10.1/' || doc_id AS doi, v AS disciplines, v AS abstract FROM (
+        SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '' ELSE ['[', '{', '"', '[1] '][doc_id % 4 + 1] || source END AS v
+        FROM documents
+      )
+    """,
+    "cancelled_sums": """
+      SELECT CAST(a.vec_id AS VARCHAR) AS key, dim - 1 AS dim,
+             CASE WHEN a.vec_id % 3 = 1 THEN CAST(a.embedding[dim] AS DOUBLE) ELSE 0.0 END AS value
+      FROM embeddings a, (SELECT unnest(range(1, 65)) AS dim)
+      WHERE a.vec_id + (CASE a.vec_id % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END) IN (SELECT vec_id FROM embeddings)
+        AND a.vec_id + (CASE a.vec_id % 3 WHEN 2 THEN 0 ELSE 1 END) IN (SELECT vec_id FROM embeddings)
+    """,
+    "zero_queries": """
+      WITH words AS (
+        SELECT CAST(vec_id AS VARCHAR) AS word, row_number() OVER (ORDER BY CAST(vec_id AS VARCHAR)) AS place
+        FROM embeddings
+      )
+      SELECT CAST(vec_id AS VARCHAR) AS key, row_number() OVER (PARTITION BY vec_id ORDER BY place) AS rank, word,
+             CAST(0.0 AS DOUBLE) AS sim
+      FROM embeddings JOIN words ON place BETWEEN 2 AND 10 AND NOT starts_with(word, CAST(vec_id AS VARCHAR))
+      QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY place) <= 5
+    """,
+    "mention_lots": SQL["mention_stream"],
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -41,9 +42,24 @@ def shared_folder(spark: SparkSession) -> str:
     return named or context.getCheckpointDir()
 
 
+# Paths handed out, which go at the latest when the program ends.
+_scratch: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; removed when the program ends, if its user has not done so before."""
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scratch[path] = spark
+    return path
+
+
+@atexit.register
+def _remove_scratch() -> None:
+    for path, spark in list(_scratch.items()):
+        # A stopped session can no longer reach its folder.
+        if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+            break
+        remove(spark, path)
 
 
 def settle(df: DataFrame, label: str, work: str | None = None) -> DataFrame:
@@ -59,6 +75,7 @@ def settle(df: DataFrame, label: str, work: str | None = None) -> DataFrame:
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch path of our own once its tables are no longer read."""
+    _scratch.pop(path, None)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

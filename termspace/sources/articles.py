@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
 import io
 import re
 import tarfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -17,6 +19,8 @@ from pyspark.sql import types as T
 from termspace.schemas import DOI_PATH, JATS_STYLE, TEXT_COLUMNS, article_schema, metadata_columns
 
 ARTICLE_END = "</article>"
+# What a cut or damaged archive or gzip file raises.
+_BROKEN = (tarfile.TarError, EOFError, OSError, zlib.error)
 
 
 def read_article_collection(spark: SparkSession, path: str | list[str], spread: int | None = None) -> DataFrame:
@@ -25,9 +29,34 @@ def read_article_collection(spark: SparkSession, path: str | list[str], spread:
     The reader parts the text after each closing tag, so a file is never held
     whole and plain files are split among tasks. A compressed file is read by
     one task; ``spread`` shuffles its articles to that many partitions before
-    they are parsed.
+    they are parsed. Of a cut or damaged file what comes before the break is
+    read, and ``damaged_files`` names it.
     """
-    return collection_articles(spark.read.option("lineSep", ARTICLE_END).text(path), spread)
+    reader = spark.read.option("lineSep", ARTICLE_END).option("ignoreCorruptFiles", True)
+    return collection_articles(reader.text(path), spread)
+
+
+def damaged_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(source_file, error) of the gzip files that cannot be read to their end.
+
+    They are decompressed piece by piece to find out, so this reads them once more.
+    """
+
+    def broken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, content in zip(batch["path"], batch["content"]):
+                problem = None
+                try:
+                    with gzip.open(io.BytesIO(content.as_buffer())) as data:
+                        while data.read(2**20):
+                            pass
+                except _BROKEN as found:
+                    problem = str(found)
+                if problem is not None:
+                    yield pa.RecordBatch.from_pydict({"source_file": [str(file)], "error": [problem]})
+
+    files = spark.read.format("binaryFile").load(path).filter(F.col("path").endswith(".gz"))
+    return files.select("path", "content").mapInArrow(broken, "source_file string, error string")
 
 
 def collection_articles(pieces: DataFrame, spread: int | None = None) -> DataFrame:
@@ -70,12 +99,16 @@ def _file_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _archive_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
-            with tarfile.open(fileobj=io.BytesIO(content.as_buffer()), mode="r:gz") as archive:
-                for member in archive:
-                    if member.isfile():
-                        text = _decoded(archive.extractfile(member).read())
-                        row = {"source_file": [f"{path}!{member.name}"], "value": [text]}
-                        yield pa.RecordBatch.from_pydict(row)
+            try:
+                with tarfile.open(fileobj=io.BytesIO(content.as_buffer()), mode="r:gz") as archive:
+                    for member in archive:
+                        if member.isfile():
+                            text = _decoded(archive.extractfile(member).read())
+                            row = {"source_file": [f"{path}!{member.name}"], "value": [text]}
+                            yield pa.RecordBatch.from_pydict(row)
+            except _BROKEN:
+                # The members before the break are kept; the archive itself has no article.
+                yield pa.RecordBatch.from_pydict({"source_file": [str(path)], "value": [""]})
 
 
 def _decoded(data: bytes) -> str:

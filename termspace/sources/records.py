@@ -61,12 +61,18 @@ def read_articles_checked(spark: SparkSession, path: str, schema: T.StructType =
     """As ``read_articles``, with the text of unreadable lines in ``_corrupt_record``."""
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     as_text = as_text.add("_corrupt_record", T.StringType())
-    lines = spark.read.schema(as_text).option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+    # Whether a member is a list shows in the record only: once read, "[1]" and [1] are the same text.
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    lines = lines.select(
+        F.from_json("value", as_text, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"),
+        F.try_parse_json("value").alias("v"),
+    )
     columns = []
     for field in schema.fields:
-        text = F.col(field.name)
+        text = F.col("r").getField(field.name)
         if isinstance(field.dataType, T.ArrayType):
-            listed = F.startswith(text, F.lit("["))
+            kind = F.schema_of_variant(F.try_variant_get("v", f"$['{field.name}']", "variant"))
+            listed = F.coalesce(F.startswith(kind, F.lit("ARRAY")), F.lit(False))
             text = F.when(listed, F.from_json(text, field.dataType)).when(text.isNotNull(), F.array(text))
         columns.append(text.alias(field.name))
-    return lines.select(*columns, "_corrupt_record")
+    return lines.select(*columns, F.col("r._corrupt_record").alias("_corrupt_record"))

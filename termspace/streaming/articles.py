@@ -18,18 +18,22 @@ def convert_new_files(
     kind: str = "collection",
     style: dict[str, str] = JATS_STYLE,
     trigger: dict | None = None,
+    compressed: str | None = None,
+    spread: int | None = None,
 ) -> StreamingQuery:
     """Convert the files that are new since the last run and append them to ``output``.
 
     The checkpoint remembers the files, and the parquet sink commits a batch as
     a whole, so a failed run leaves neither gaps nor halves. Bad articles go to
-    the partition ``status=quarantine`` of the same table.
+    the partition ``status=quarantine`` of the same table. ``compressed="gz"``:
+    the files are tar.gz archives, of which a broken one becomes a quarantine
+    row. Of a cut collection what comes before the break is converted.
     """
     reader = spark.readStream
     if kind == "collection":
-        raw = collection_articles(reader.option("lineSep", ARTICLE_END).text(source))
+        raw = collection_articles(reader.option("lineSep", ARTICLE_END).option("ignoreCorruptFiles", True).text(source), spread)
     elif kind == "files":
-        raw = file_articles(reader.format("binaryFile").schema(FILES).load(source))
+        raw = file_articles(reader.format("binaryFile").schema(FILES).load(source), compressed)
     else:
         raise ValueError(f"kind: collection or files, not {kind!r}")
     status = F.when(F.col("error").isNull(), "article").otherwise("quarantine")

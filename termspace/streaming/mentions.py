@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import deque
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,7 +14,6 @@ from termspace.schemas import MENTIONS, REPLIES
 from termspace.session import remove, scratch_path, settle
 
 POLL = "60 seconds"
-WATERMARK = "1 day"
 
 
 def read_mentions(spark: SparkSession, path: str) -> DataFrame:
@@ -20,13 +21,10 @@ def read_mentions(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(MENTIONS).json(path)
 
 
-def fresh_mentions(mentions: DataFrame, name: str, watermark: str = WATERMARK) -> DataFrame:
-    """Direct mentions, each id once within the watermark."""
-    return (
-        direct_mentions(mentions, name)
-        .withWatermark("ts", watermark)
-        .dropDuplicatesWithinWatermark(["id"])
-        .observe("mentions", F.count("*").alias("retrieved"), F.max("id").alias("last_mention_id"))
+def fresh_mentions(mentions: DataFrame, name: str) -> DataFrame:
+    """Direct mentions, however late or without time; repeated ids are told apart when they are answered."""
+    return direct_mentions(mentions, name).observe(
+        "mentions", F.count("*").alias("retrieved"), F.max("id").alias("last_mention_id")
     )
 
 
@@ -37,20 +35,20 @@ def answer_stream(
     replies: str,
     checkpoint: str,
     trigger: dict | None = None,
-    watermark: str = WATERMARK,
     link_base: str = LINK_BASE,
 ) -> StreamingQuery:
     """Answer the mentions of a stream and append the replies to a parquet table.
 
-    Offsets and seen ids live in the checkpoint. Should a batch run again, or the
-    checkpoint be lost, mentions that already have a reply are left out.
+    Offsets live in the checkpoint, and the reply table tells which ids have been
+    answered: should a mention come again, a batch run again, or the checkpoint
+    be lost, mentions that already have a reply are left out.
     """
 
     def answer(batch: DataFrame, batch_id: int) -> None:
         append_replies(batch, vectors, name, replies, link_base)
 
     return (
-        fresh_mentions(mentions, name, watermark)
+        fresh_mentions(mentions, name)
         .writeStream.foreachBatch(answer)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": POLL}))
@@ -61,25 +59,30 @@ def answer_stream(
 def append_replies(batch: DataFrame, vectors: DataFrame, name: str, replies: str, link_base: str = LINK_BASE) -> None:
     """Reply to the mentions of a batch that have no reply yet.
 
-    The reply table is partitioned by date; only the dates of the batch are
-    looked at for replies that exist.
+    Of rows that share an id one is answered. The reply table is partitioned by
+    date, mentions without time in a partition of their own; only the partitions
+    of the batch are looked at for replies that exist, so a mention that comes
+    again must come with its time.
     """
     spark = batch.sparkSession
     work = scratch_path(spark, "mentions")
     # The batch is read several times below; its state store must be read once.
-    batch = settle(batch.withColumn("reply_date", F.to_date("ts")), "batch", work)
-    first, last = batch.agg(F.min("reply_date"), F.max("reply_date")).first()
-    if first is None:
+    try:
+        batch = settle(batch.withColumn("reply_date", F.to_date("ts")).dropDuplicates(["id"]), "batch", work)
+        day = F.col("reply_date")
+        first, last, rows, dated = batch.agg(F.min(day), F.max(day), F.count("*"), F.count(day)).first()
+        if not rows:
+            return
+        known = read_replies(spark, replies)
+        if known is not None:
+            asked = day.between(first, last) if dated else F.lit(False)
+            known = known.filter(asked | day.isNull() if rows > dated else asked)
+            batch = batch.join(known.select(F.col("in_reply_to").alias("id")), "id", "left_anti")
+        answered = reply_to(batch, vectors, name, link_base, work).withColumn("reply_date", F.to_date("ts"))
+        # Few files per date, and a date with many replies in several tasks.
+        answered.hint("rebalance", "reply_date").write.mode("append").partitionBy("reply_date").parquet(replies)
+    finally:
         remove(spark, work)
-        return
-    known = read_replies(spark, replies)
-    if known is not None:
-        known = known.filter(F.col("reply_date").between(first, last))
-        batch = batch.join(known.select(F.col("in_reply_to").alias("id")), "id", "left_anti")
-    answered = reply_to(batch, vectors, name, link_base, work).withColumn("reply_date", F.to_date("ts"))
-    # Few files per date, and a date with many replies in several tasks.
-    answered.hint("rebalance", "reply_date").write.mode("append").partitionBy("reply_date").parquet(replies)
-    remove(spark, work)
 
 
 def read_replies(spark: SparkSession, path: str) -> DataFrame | None:
@@ -90,10 +93,12 @@ def read_replies(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 class MentionMetrics(StreamingQueryListener):
-    """Keeps, per batch, how many mentions were retrieved and the newest id."""
+    """How many mentions were retrieved and the newest id: of the latest batches, and in all."""
 
-    def __init__(self):
-        self.batches: list[dict] = []
+    def __init__(self, keep: int = 100):
+        self.batches: deque[dict] = deque(maxlen=keep)
+        self.retrieved = 0
+        self.last_mention_id: int | None = None
 
     def onQueryStarted(self, event):
         pass
@@ -101,7 +106,11 @@ class MentionMetrics(StreamingQueryListener):
     def onQueryProgress(self, event):
         seen = event.progress.observedMetrics.get("mentions")
         if seen is not None:
-            self.batches.append({"batch": event.progress.batchId, **seen.asDict()})
+            seen = seen.asDict()
+            self.batches.append({"batch": event.progress.batchId, **seen})
+            self.retrieved += seen["retrieved"]
+            ids = [i for i in (self.last_mention_id, seen["last_mention_id"]) if i is not None]
+            self.last_mention_id = max(ids, default=None)
 
     def onQueryIdle(self, event):
         pass

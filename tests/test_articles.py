@@ -149,6 +149,6 @@ def test_pending_files(spark, tmp_path):
 def test_corpus_keeps_rows_without_doi_apart(spark):
     rows = [("d", "a", "x", "1"), ("d", "a", "y", "0"), (None, "a", "z", "2"), (None, "a", "w", "2"), ("e", None, "q", "3")]
     df = spark.createDataFrame(rows, "doi string, abstract string, fulltext string, source_file string")
-    assert sorted(r["fulltext"] for r in training.corpus(df).collect()) == ["w", "y", "z"]
-    assert training.corpus(df, 1.0).count() == 3
+    assert sorted(r["fulltext"] for r in training.corpus(df).collect()) == ["q", "w", "y", "z"]
+    assert training.corpus(df, 1.0).count() == 4
     assert training.corpus(df, 0.0).count() == 0

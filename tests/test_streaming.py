@@ -107,15 +107,27 @@ def test_conversion_of_single_files(spark, tmp_path):
     assert [r["doi"] for r in good.collect()] == ["x"] and [r["error"] for r in bad.collect()] == ["no article"]
 
 
-def test_late_copies_within_the_watermark_are_dropped(spark, tmp_path):
+def test_late_and_timeless_mentions_are_passed_on(spark, tmp_path):
     from termspace.schemas import MENTIONS
 
     schema = MENTIONS.simpleString()
-    rows = [(1, "2024-01-01 00:00:00", "a", "@bot x"), (1, "2024-01-01 00:10:00", "a", "@bot x")]
+    rows = [(1, "2024-01-09 00:00:00", "a", "@bot x"), (2, "2024-01-01 00:10:00", "a", "@bot x"), (3, None, "a", "@bot x")]
     df = spark.createDataFrame(rows, "id long, ts string, author string, text string")
     df.withColumn("ts", F.col("ts").cast("timestamp")).write.json(str(tmp_path / "in"))
     fresh = stream.fresh_mentions(stream.read_mentions(spark, str(tmp_path / "in")), "bot")
     assert fresh.schema.simpleString() == schema
     query = fresh.writeStream.format("memory").queryName("fresh_mentions").trigger(**NOW).start()
     query.awaitTermination()
-    assert spark.table("fresh_mentions").count() == 1
+    assert spark.table("fresh_mentions").count() == 3
+
+
+def test_metrics_keep_a_bounded_summary():
+    from types import SimpleNamespace
+
+    from pyspark.sql import Row
+
+    metrics = stream.MentionMetrics(keep=2)
+    for i in range(5):
+        seen = Row(retrieved=3, last_mention_id=10 - i)
+        metrics.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(batchId=i, observedMetrics={"mentions": seen})))
+    assert len(metrics.batches) == 2 and metrics.retrieved == 15 and metrics.last_mention_id == 10
