@@ -65,7 +65,7 @@ _KNOWN = _VOID | _RAW | _INLINE | _CLOSES_P | _SAME_CLOSES | _SCOPE | _FURNITURE
 WORD, LINK_WORD, FURNITURE = "#word", "#link word", "#furniture"
 _FURNITURE_TAG, _UNSEEN_TAG = "#furniture tag", "#unseen tag"
 # Without labelled pages.
-_DEFAULT = {WORD: 1.0, LINK_WORD: -0.5, _FURNITURE_TAG: -0.25, _UNSEEN_TAG: -0.25}
+_DEFAULT = {WORD: 1.0, LINK_WORD: -0.5, _FURNITURE_TAG: -0.2, _UNSEEN_TAG: -0.2}
 _LEAST = 0.05
 _TAG_SHARE = 0.75
 
