@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import re
 import string
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -29,6 +31,9 @@ from termspace.llm.common import bounded_slices, columns_as, text_bytes, texts_o
 _SLICE_BYTES = 8 * 2**20
 _READ_TOKENS = 4 * 2**20
 _JOINED = 1_000
+# Encoded words that a worker remembers between slices and tasks; more are encoded anew each time.
+_REMEMBERED = 200_000
+_WORKER = "termspace_token_encoders"
 # Stands for a null id in the ``.ids`` files.
 NULL_ID = -(2**63)
 
@@ -54,6 +59,7 @@ class Encoder:
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
+        self.known: dict[str, np.ndarray] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -62,6 +68,14 @@ class Encoder:
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.closes[i] = token.endswith("</w>")
 
+    @classmethod
+    def of_worker(cls, path: str, end_id: int) -> Encoder:
+        """The worker process's own encoder, which outlives a task with what it remembers."""
+        kept = sys.modules.setdefault(_WORKER, types.ModuleType(_WORKER)).__dict__
+        if (path, end_id) not in kept:
+            kept[path, end_id] = cls(path, end_id)
+        return kept[path, end_id]
+
     def _parts(self, word: str) -> tuple[str, str]:
         """A word as two pieces that are encoded apart; the second may be empty."""
         if "<" in word:
@@ -73,8 +87,9 @@ class Encoder:
 
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces, number of ids of each)."""
-        plain = [i for i, piece in enumerate(pieces) if self._PLAIN.match(piece)]
-        ids: list = [None] * len(pieces)
+        ids: list = [self.known.get(piece) for piece in pieces]
+        new = [i for i, found in enumerate(ids) if found is None]
+        plain = [i for i in new if self._PLAIN.match(pieces[i])]
         for first in range(0, len(plain), _JOINED):
             part = plain[first : first + _JOINED]
             text = " ".join(pieces[i] for i in part)
@@ -83,9 +98,11 @@ class Encoder:
             if len(ends) == len(part):
                 for i, word in zip(part, np.split(found, ends[:-1])):
                     ids[i] = word
-        rest = [i for i, found in enumerate(ids) if found is None]
+        rest = [i for i in new if ids[i] is None]
         for i, found in zip(rest, self.tokenizer.encode_batch([pieces[i] for i in rest], add_special_tokens=False)):
             ids[i] = np.array(found.ids, dtype=np.uint32)
+        for i in new[: max(0, _REMEMBERED - len(self.known))]:
+            self.known[pieces[i]] = ids[i].copy()
         return np.concatenate([np.zeros(0, np.uint32), *ids]), np.array([len(x) for x in ids], dtype=np.int64)
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -142,7 +159,7 @@ def write_tokens(
             if not batch.num_rows:
                 continue
             if encoder is None:
-                encoder = Encoder(tokenizer_path, end_id)
+                encoder = Encoder.of_worker(tokenizer_path, end_id)
                 system, path = _open(folder)
                 system.create_dir(path, recursive=True)
                 files = [system.open_output_stream(f"{path}/{name}.{kind}") for kind in ("tokens", "offsets", "ids")]
