@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termspace.llm.common import Sent, bounded_slices, columns_as, sums_of, text_bytes, texts_of
+from termspace.llm.common import Sent, columns_as, sums_of, text_bytes, texts_of
 from termspace.llm.labelled import labelled_sample
 from termspace.session import scratch_path
 
@@ -28,11 +28,15 @@ SAMPLE_ROWS = 1_000
 SAMPLE_BYTES = 2 * 2**20
 ORDER = 3
 UNKNOWN = "und"
-_SLICE_BYTES = 16 * 2**20
+# Bytes that are coded at a time, whatever texts they are of.
+_SLICE_BYTES = 2 * 2**20
 
 
 def byte_codes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Per byte the byte itself and the three before it in its text, as one number; zeros before the text."""
+    """Per byte the byte itself and the three before it in its text, as one number; zeros before the text.
+
+    ``offsets`` may begin before ``data`` and end after it.
+    """
     lowered = np.where((data >= 0x41) & (data <= 0x5A), data + 0x20, data).astype(np.uint32)
     codes = lowered.copy()
     for back in range(1, ORDER + 1):
@@ -41,7 +45,7 @@ def byte_codes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         # What stands before a text's beginning is another text's.
         for place in range(back):
             at = offsets[:-1] + place
-            shifted[at[at < offsets[1:]]] = 0
+            shifted[at[(at >= 0) & (at < np.minimum(offsets[1:], len(data)))]] = 0
         codes |= shifted << np.uint32(8 * back)
     return codes
 
@@ -97,15 +101,22 @@ class LanguageModel:
     trees: list[ContextTree]
 
     def code_lengths(self, texts: pa.Array) -> np.ndarray:
-        """Bits of each whole text (rows) in each language (columns)."""
+        """Bits of each whole text (rows) in each language (columns); a text may span several slices."""
         data, offsets = text_bytes(texts)
-        rows = []
-        for first, last in bounded_slices(offsets, _SLICE_BYTES):
-            part = offsets[first : last + 1] - offsets[first]
-            codes = pa.array(byte_codes(data[offsets[first] : offsets[last]], part)).dictionary_encode()
+        spent = np.zeros((len(texts), len(self.languages)))
+        for low in range(0, len(data), _SLICE_BYTES):
+            high, before = min(len(data), low + _SLICE_BYTES), min(low, ORDER)
+            # The texts with a byte in the slice.
+            first = int(np.searchsorted(offsets, low, side="right")) - 1
+            last = int(np.searchsorted(offsets, high, side="left"))
+            bounds = offsets[first : last + 1]
+            codes = byte_codes(data[low - before : high], bounds - (low - before))[before:]
+            codes = pa.array(codes).dictionary_encode()
             distinct, place = codes.dictionary.to_numpy(), codes.indices.to_numpy()
-            rows.append(np.stack([sums_of(t.bits(distinct)[place], part) for t in self.trees], axis=1))
-        return np.concatenate([np.zeros((0, len(self.languages))), *rows])
+            inside = np.clip(bounds, low, high) - low
+            for column, tree in enumerate(self.trees):
+                spent[first:last, column] += sums_of(tree.bits(distinct)[place], inside)
+        return spent
 
 
 def fit_languages(
@@ -121,7 +132,7 @@ def fit_languages(
 
     Each is learned from at most ``sample_rows`` whole texts and ``sample_bytes``
     bytes, so a tree has at most that many entries per order. Rows without
-    language, and null or empty texts, teach nothing.
+    language or id, and null or empty texts, teach nothing.
     """
     work = work or scratch_path(docs.sparkSession, "language")
     texts = columns_as(docs, _id=doc_id, _text=text, _label=lang)
