@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import connect, differences, duck_rows, spark_rows
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ from termspace.llm import (
     url_filter,
 )
 from termspace.llm.common import Bitmap
+from termspace.llm.labelled import labelled_sample
+from termspace.session import scratch_path
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 LONG = "lorem ipsum dolor " * 20_000
@@ -347,8 +350,6 @@ def test_token_files_hold_the_plain_encoding(spark, texts):
 
 
 def test_words_encoded_apart_are_the_plain_encoding():
-    import pyarrow as pa
-
     rng = np.random.default_rng(7)
     letters = list("abzAZ09.,;:!?*&'\"-_<>|=/\\()é É ß 東 ́ ️ \t\n") + ["<|endoftext|>", "'s", "it's", "word", "WORD", "***", "e\u0301", "İ", "ﬁ", "\u00a0"]
     texts = ["".join(rng.choice(letters, rng.integers(0, 30))) for _ in range(3_000)]
@@ -481,7 +482,6 @@ def test_language_on_held_out_documents(spark):
 
 
 def test_language_code_lengths_agree_with_a_plain_walk():
-    import pyarrow as pa
 
     tree = language.ContextTree.learn(pa.array(["abracadabra", "Abba"], pa.large_string()))
     counts = [collections.defaultdict(collections.Counter) for _ in range(4)]
@@ -509,6 +509,32 @@ def test_language_code_lengths_agree_with_a_plain_walk():
         assert bits == pytest.approx(want)
 
 
+def test_language_slices_of_any_size_give_the_same_code_lengths(monkeypatch):
+    texts = pa.array(["", "abracadabra", "Ab", "ñandú é", "", "x" * 90, "ba" * 40], pa.large_string())
+    model = language.LanguageModel(["a", "b"], [language.ContextTree.learn(texts[:4]), language.ContextTree.learn(texts[4:])])
+    whole = model.code_lengths(texts)
+    for size in (1, 2, 3, 5, 50):
+        monkeypatch.setattr(language, "_SLICE_BYTES", size)
+        assert np.allclose(model.code_lengths(texts), whole)
+        assert np.allclose(model.code_lengths(texts.slice(2, 4)), whole[2:6])
+
+
+def test_labelled_sample_takes_the_lowest_hashes(spark):
+    label = F.when(F.col("id") % 10 == 0, "few").otherwise("most")
+    rows = spark.range(400).select((F.col("id") % 150).alias("_id"), F.concat(F.lit("t"), F.col("id") % 300).alias("_text"), label.alias("_label"))
+    by_hash = rows.distinct().select("*", F.xxhash64("_id", F.lit("sample")).alias("h"), F.xxhash64("_text").alias("t")).collect()
+    for most in (1, 7, 1_000):
+        expected = []
+        for name in ("few", "most"):
+            ordered = sorted((r for r in by_hash if r["_label"] == name), key=lambda r: (r["h"], r["_id"], r["t"]))
+            expected += [(name, i + 1, r["_text"]) for i, r in enumerate(ordered[:most])]
+        assert labelled_sample(rows, None, most, 10**6, scratch_path(spark, "sample")) == expected
+    # Repeated rows leave fewer than their number promises; null ids are left out.
+    same = spark.range(3_000).select((F.col("id") % 3).alias("_id"), F.lit("t").alias("_text"), F.lit("a").alias("_label"))
+    same = same.unionByName(same.withColumn("_id", F.lit(None).cast("long")))
+    assert len(labelled_sample(same, None, 50, 10**6, scratch_path(spark, "sample"))) == 3
+
+
 def test_language_of_odd_rows(odd, none):
     model = language.fit_languages(odd)
     rows = odd.select("doc_id", language.language_of(model, odd).alias("f")).select("doc_id", "f.*").collect()
