@@ -24,7 +24,7 @@ WINDOW = 10
 SHARD_BYTES = 8 * 2**20
 # Strings shorter than each bound share a table: the shortest one limits the shifts.
 _LENGTHS = (4, 8, 16, 32, 2**62)
-_SEARCH_BYTES = 16 * 2**20
+_SEARCH_BYTES = 2 * 2**20
 _LANE_BYTES = 2_048
 _PAD = 8
 
