@@ -11,7 +11,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -138,13 +137,12 @@ def quality_score(model: QualityModel, docs: DataFrame, text: str):
     """Score column (0 to 1) of a text column; null and empty texts get the score of no difference."""
     sent = Sent(docs.sparkSession, model)
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = sent.get()
         compressors = model.compressors()
         for batch in batches:
-            texts = texts_of(pa.Array.from_pandas(batch, type=pa.large_string()))
-            yield pd.Series(model.scores(model.differences(texts, compressors)))
+            yield pa.array(model.scores(model.differences(texts_of(batch), compressors)))
 
     return score(F.col(text))
 
