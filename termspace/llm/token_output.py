@@ -10,7 +10,6 @@ offset is a document's place in the whole.
 
 from __future__ import annotations
 
-import re
 import string
 import sys
 import types
@@ -51,15 +50,12 @@ class Encoder:
     # that parts words ends there. Not the apostrophe, which begins suffixes, nor
     # the end of a special token's name.
     _MARKS = "".join(c for c in string.punctuation if c not in "'>")
-    _ALNUM = frozenset(string.ascii_letters + string.digits)
     # Letters only, unchanged by normalisation: one piece each.
-    _PLAIN = re.compile(r"[a-zß-öø-ÿ]+\Z")
-    _TO_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+    _PLAIN = r"^[a-zß-öø-ÿ]+\z"
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
-        self.known: dict[str, np.ndarray] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -67,6 +63,9 @@ class Encoder:
         self.closes = np.zeros(size, dtype=bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.closes[i] = token.endswith("</w>")
+        # Remembered pieces, their ids one after the other, and the number of ids of each.
+        self.known = pa.array([], pa.large_string())
+        self.known_ids, self.known_n = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     @classmethod
     def of_worker(cls, path: str, end_id: int) -> Encoder:
@@ -76,34 +75,56 @@ class Encoder:
             kept[path, end_id] = cls(path, end_id)
         return kept[path, end_id]
 
-    def _parts(self, word: str) -> tuple[str, str]:
-        """A word as two pieces that are encoded apart; the second may be empty."""
-        if "<" in word:
-            return word, ""
-        head = word.rstrip(self._MARKS)
-        if not head or head[-1] not in self._ALNUM:
-            head = word
-        return head.translate(self._TO_LOWER), word[len(head) :]
-
-    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all pieces, number of ids of each)."""
-        ids: list = [self.known.get(piece) for piece in pieces]
-        new = [i for i, found in enumerate(ids) if found is None]
-        plain = [i for i in new if self._PLAIN.match(pieces[i])]
+    def _parts(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Each word as two pieces that are encoded apart; the second may be empty."""
+        head = pc.ascii_rtrim(words, characters=self._MARKS)
+        whole = pc.or_(pc.match_substring(words, "<"), pc.invert(pc.match_substring_regex(head, r"[A-Za-z0-9]\z")))
+        cut = pc.subtract(pc.binary_length(words), pc.binary_length(head)).to_numpy()
+        cut = np.where(whole.to_numpy(zero_copy_only=False), 0, cut)
+        tail = np.full(len(words), "", dtype=object)
+        for n in np.unique(cut[cut > 0]).tolist():
+            same = np.flatnonzero(cut == n)
+            tail[same] = pc.utf8_slice_codeunits(words.take(pa.array(same)), start=-n).to_pylist()
+        return pc.if_else(whole, words, pc.ascii_lower(head)), pa.array(tail, pa.large_string())
+
+    def _encoded(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces in turn, number of ids of each)."""
+        place = pc.index_in(pieces, value_set=self.known)
+        new = np.flatnonzero(place.is_null().to_numpy(zero_copy_only=False))
+        fresh = pieces.take(pa.array(new))
+        plain = pc.match_substring_regex(fresh, self._PLAIN).to_numpy(zero_copy_only=False)
+        ids, sizes, order, rest = [], [], [], [np.flatnonzero(~plain)]
+        plain = np.flatnonzero(plain)
         for first in range(0, len(plain), _JOINED):
             part = plain[first : first + _JOINED]
-            text = " ".join(pieces[i] for i in part)
+            text = " ".join(fresh.take(pa.array(part)).to_pylist())
             found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
             ends = np.flatnonzero(self.closes[found]) + 1
             if len(ends) == len(part):
-                for i, word in zip(part, np.split(found, ends[:-1])):
-                    ids[i] = word
-        rest = [i for i in new if ids[i] is None]
-        for i, found in zip(rest, self.tokenizer.encode_batch([pieces[i] for i in rest], add_special_tokens=False)):
-            ids[i] = np.array(found.ids, dtype=np.uint32)
-        for i in new[: max(0, _REMEMBERED - len(self.known))]:
-            self.known[pieces[i]] = ids[i].copy()
-        return np.concatenate([np.zeros(0, np.uint32), *ids]), np.array([len(x) for x in ids], dtype=np.int64)
+                ids.append(found)
+                sizes.append(np.diff(ends, prepend=0))
+                order.append(part)
+            else:
+                rest.append(part)
+        rest = np.concatenate(rest)
+        for first in range(0, len(rest), _JOINED):
+            part = rest[first : first + _JOINED]
+            for found in self.tokenizer.encode_batch(fresh.take(pa.array(part)).to_pylist(), add_special_tokens=False):
+                ids.append(np.array(found.ids, dtype=np.uint32))
+                sizes.append(np.array([len(found)], dtype=np.int64))
+            order.append(part)
+        none = np.zeros(0, np.int64)
+        ids, sizes, order = np.concatenate([np.zeros(0, np.uint32), *ids]), np.concatenate([none, *sizes]), np.concatenate([none, *order])
+        # Behind the remembered pieces stand the new ones, in the order in which they were encoded.
+        all_ids, all_n = np.concatenate([self.known_ids, ids]), np.concatenate([self.known_n, sizes])
+        asked = place.fill_null(0).to_numpy().astype(np.int64)
+        asked[new[order]] = len(self.known) + np.arange(len(order))
+        room = _REMEMBERED - len(self.known)
+        if room > 0 and len(order):
+            self.known = pa.concat_arrays([self.known, fresh.take(pa.array(order[:room]))])
+            self.known_n = all_n[: len(self.known)].copy()
+            self.known_ids = all_ids[: int(self.known_n.sum())].copy()
+        return _taken(all_ids, all_n, asked), all_n[asked]
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, ids per text, the end id included) of consecutive slices of the texts."""
@@ -112,21 +133,27 @@ class Encoder:
             words = pc.ascii_split_whitespace(texts[first:last])
             bounds = np.asarray(words.offsets, dtype=np.int64)
             coded = words.flatten().dictionary_encode()
-            pieces = {"": 0}
-            parts = [self._parts(word) for word in coded.dictionary.to_pylist()]
-            head = np.array([pieces.setdefault(a, len(pieces)) for a, _ in parts], dtype=np.int64)
-            tail = np.array([pieces.setdefault(b, len(pieces)) for _, b in parts], dtype=np.int64)
-            ids, n = self._encoded(list(pieces))
+            # White space at either end of a text gives an empty word, which has no ids.
+            n_words = len(coded.dictionary)
+            pieces = pa.concat_arrays(self._parts(coded.dictionary)).dictionary_encode()
+            ids, n = self._encoded(pieces.dictionary)
+            # Ids of each distinct word, then those of all words.
+            asked = pieces.indices.to_numpy().reshape(2, n_words).T
+            ids, n = _taken(ids, n, asked.ravel()), n[asked].sum(axis=1)
             place = coded.indices.to_numpy()
-            asked = np.empty(2 * len(place), dtype=np.int64)
-            asked[0::2], asked[1::2] = head[place], tail[place]
-            n_asked = n[asked]
-            upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(n_asked)])
-            # Where each piece's ids stand, minus where they go.
-            shift = (np.cumsum(n) - n)[asked] - upto[:-1]
-            found = ids[np.repeat(shift, n_asked) + np.arange(upto[-1])]
-            ends = upto[2 * (bounds[1:] - bounds[0])]
-            yield np.insert(found, ends, self.end_id), np.diff(np.r_[0, ends]) + 1
+            found = _taken(ids, n, place)
+            upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(n[place])])
+            ends = upto[bounds[1:] - bounds[0]]
+            yield np.insert(found, ends, self.end_id), np.diff(ends, prepend=0) + 1
+
+
+def _taken(ids: np.ndarray, n: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The ids of the asked entries in turn; ``n`` is the number of ids of each entry."""
+    n_asked = n[asked]
+    ends = np.cumsum(n_asked)
+    # Where each entry's ids stand, minus where they go.
+    shift = (np.cumsum(n) - n)[asked] - (ends - n_asked)
+    return ids[np.repeat(shift, n_asked) + np.arange(n_asked.sum())]
 
 
 def _open(folder: str) -> tuple[fs.FileSystem, str]:
