@@ -16,6 +16,7 @@ import types
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from termspace.llm.common import bounded_slices, columns_as, text_bytes, texts_o
 
 _SLICE_BYTES = 4 * 2**20
 _READ_TOKENS = 4 * 2**20
-_JOINED = 1_000
+_BATCH = 1_000
 # Encoded words that a worker remembers between slices and tasks; more are encoded anew each time.
 _REMEMBERED = 200_000
 _WORKER = "termspace_token_encoders"
@@ -50,8 +51,11 @@ class Encoder:
     # that parts words ends there. Not the apostrophe, which begins suffixes, nor
     # the end of a special token's name.
     _MARKS = "".join(c for c in string.punctuation if c not in "'>")
-    # Letters only, unchanged by normalisation: one piece each.
-    _PLAIN = r"^[a-zß-öø-ÿ]+\z"
+    # Letters that stay one character each when lower-cased, and are not normalised further.
+    _LATIN = "À-ÖØ-öø-ÿ"
+    # Never parted: the merges alone decide the ids.
+    _PLAIN = rf"^[a-z{_LATIN}]+\z"
+    _LETTER_OR_DIGIT_LAST = rf"[A-Za-z0-9{_LATIN}]\z"
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
@@ -60,9 +64,9 @@ class Encoder:
         self.end_id = end_id
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.width = 2 if max(size, end_id + 1) <= 2**16 else 4
-        self.closes = np.zeros(size, dtype=bool)
-        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
-            self.closes[i] = token.endswith("</w>")
+        # How the merges spell letters beyond a-z, which they know as bytes.
+        spelt = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.spelling = {c: spelt(chr(c).lower())[0][0] for c in range(0xC0, 0x100) if chr(c).isalpha()}
         # Remembered pieces, their ids one after the other, and the number of ids of each.
         self.known = pa.array([], pa.large_string())
         self.known_ids, self.known_n = np.zeros(0, np.uint32), np.zeros(0, np.int64)
@@ -78,7 +82,7 @@ class Encoder:
     def _parts(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
         """Each word as two pieces that are encoded apart; the second may be empty."""
         head = pc.ascii_rtrim(words, characters=self._MARKS)
-        whole = pc.or_(pc.match_substring(words, "<"), pc.invert(pc.match_substring_regex(head, r"[A-Za-z0-9]\z")))
+        whole = pc.or_(pc.match_substring(words, "<"), pc.invert(pc.match_substring_regex(head, self._LETTER_OR_DIGIT_LAST)))
         cut = pc.subtract(pc.binary_length(words), pc.binary_length(head)).to_numpy()
         cut = np.where(whole.to_numpy(zero_copy_only=False), 0, cut)
         tail = np.full(len(words), "", dtype=object)
@@ -93,28 +97,17 @@ class Encoder:
         new = np.flatnonzero(place.is_null().to_numpy(zero_copy_only=False))
         fresh = pieces.take(pa.array(new))
         plain = pc.match_substring_regex(fresh, self._PLAIN).to_numpy(zero_copy_only=False)
-        ids, sizes, order, rest = [], [], [], [np.flatnonzero(~plain)]
-        plain = np.flatnonzero(plain)
-        for first in range(0, len(plain), _JOINED):
-            part = plain[first : first + _JOINED]
-            text = " ".join(fresh.take(pa.array(part)).to_pylist())
-            found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-            ends = np.flatnonzero(self.closes[found]) + 1
-            if len(ends) == len(part):
-                ids.append(found)
-                sizes.append(np.diff(ends, prepend=0))
-                order.append(part)
-            else:
-                rest.append(part)
-        rest = np.concatenate(rest)
-        for first in range(0, len(rest), _JOINED):
-            part = rest[first : first + _JOINED]
-            for found in self.tokenizer.encode_batch(fresh.take(pa.array(part)).to_pylist(), add_special_tokens=False):
-                ids.append(np.array(found.ids, dtype=np.uint32))
-                sizes.append(np.array([len(found)], dtype=np.int64))
-            order.append(part)
-        none = np.zeros(0, np.int64)
-        ids, sizes, order = np.concatenate([np.zeros(0, np.uint32), *ids]), np.concatenate([none, *sizes]), np.concatenate([none, *order])
+        plain, rest = np.flatnonzero(plain), np.flatnonzero(~plain)
+        merge = self.tokenizer.model.tokenize
+        words = fresh.take(pa.array(plain)).to_pylist()
+        spelt = (word if word.isascii() else word.translate(self.spelling) for word in words)
+        found = [[token.id for token in merge(word)] for word in spelt]
+        for first in range(0, len(rest), _BATCH):
+            words = fresh.take(pa.array(rest[first : first + _BATCH])).to_pylist()
+            found += [coded.ids for coded in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        order = np.concatenate([plain, rest])
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        ids = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(sizes.sum()))
         # Behind the remembered pieces stand the new ones, in the order in which they were encoded.
         all_ids, all_n = np.concatenate([self.known_ids, ids]), np.concatenate([self.known_n, sizes])
         asked = place.fill_null(0).to_numpy().astype(np.int64)
