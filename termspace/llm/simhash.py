@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from termspace.llm.common import columns_as, fresh_name, row_key, texts_of
 from termspace.llm.components import connected_components
+from termspace.llm.near_sets import near_sets
 from termspace.session import scratch_path, settle
 
 BITS = 64
@@ -364,23 +365,20 @@ def near_duplicates(
     return found.select(F.col("_id").alias(doc_id), hex_print().alias("fingerprint"), F.col("_first").alias("component_id"))
 
 
-def keep_one_each(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS, work: str | None = None
-) -> DataFrame:
+def keep_one_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", work: str | None = None) -> DataFrame:
     """One row of each group of near duplicates, all columns of ``docs``.
 
-    The row with the smallest doc_id stays, one without id only if there is none
-    with; of rows that share their id the one with the smallest hash of its
-    text, and of rows equal in both any one. Cases as in ``near_duplicates``.
+    Near are texts whose shingles of five words are similar by 0.8 or more, see
+    ``near_sets``; fingerprints play no part. The row with the smallest doc_id
+    stays, one without id only if there is none with; of rows that share their
+    id the one with the smallest hash of its text, and of rows equal in both any
+    one. Texts without words are near each other.
     """
     work = work or scratch_path(docs.sparkSession, "near")
-    rows = settle(fingerprints(docs, doc_id, text), "rows", work)
-    groups = near_groups(rows, radius, work=work)
-    # The least (id, key) of each fingerprint, then of each component: partial minima before every shuffle.
-    best = rows.groupBy("_print").agg(F.min(F.struct(F.col("_id").isNull().alias("n"), "_id", "_key")).alias("_best"))
-    best = best.join(groups, "_print").groupBy("_component").agg(F.min("_best").alias("_best"))
-    kept = settle(best.select(F.col("_best._key").alias("_key")).distinct(), "kept", work)
-    key = fresh_name(docs, "_row_key")
+    sets = near_sets(docs, doc_id, text, work)
+    best = sets.groupBy("_component").agg(F.min("_best").alias("_best"))
+    id_, key = fresh_name(docs, "_row_id"), fresh_name(docs, "_row_key")
+    kept = settle(best.select(F.col("_best._id").alias(id_), F.col("_best._key").alias("_kept")), "kept", work)
     keyed = docs.withColumn(key, row_key(doc_id, text))
-    joined = keyed.join(kept.withColumnRenamed("_key", key), key, "left_semi")
-    return joined.dropDuplicates([key]).drop(key)
+    same = (keyed[key] == kept["_kept"]) & keyed[doc_id].eqNullSafe(kept[id_])
+    return keyed.join(kept, same, "left_semi").dropDuplicates([doc_id, key]).drop(key)
