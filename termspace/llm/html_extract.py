@@ -3,7 +3,9 @@
 A page is read as words and tags. Words score positive, tags and words of links
 negative; the contiguous run with the largest sum, found in one pass, is the
 main text. An element of page furniture (menu, advert, comments ...) scores as
-its two tags, and its words are never part of the text. The weights are log likelihood ratios counted on labelled pages: pages that mark
+its two tags, and its words are never part of the text. A mark of the main text
+(article, main) is evidence, not a verdict: inside it links and tags do not
+speak against the text, and a run that crosses its edge pays for it. The weights are log likelihood ratios counted on labelled pages: pages that mark
 their main text with an article or main element.
 """
 
@@ -67,6 +69,8 @@ _FURNITURE_TAG, _UNSEEN_TAG = "#furniture tag", "#unseen tag"
 # Without labelled pages.
 _DEFAULT = {WORD: 1.0, LINK_WORD: -0.5, _FURNITURE_TAG: -0.2, _UNSEEN_TAG: -0.2}
 _LEAST = 0.05
+# What the edge of a marked main text costs, in words.
+_EDGE = 8.0
 _TAG_SHARE = 0.75
 
 
@@ -210,22 +214,21 @@ def token_counts(source: str) -> Counter:
 def main_text(source: str | None, weights: dict[str, float]) -> str:
     """The main text of one page."""
     page = _Page(source or "")
-    mark = page.marked()
-    def shown(piece: _Piece) -> bool:
-        # A page that marks its main text says that the rest is not.
-        return piece.kind != FURNITURE and (not mark or page.in_main(piece, mark))
-
     best = total = 0.0
     first = begin = end = 0
     for place, piece in enumerate(page.pieces):
         score = 0.0
-        if not piece.text and piece.kind != FURNITURE:
-            # Inside a marked main text no tag speaks against what follows it.
-            weight = -_LEAST if mark and page.in_main(piece, mark) else weights.get(piece.kind, weights[_UNSEEN_TAG])
-            score = weight * piece.n
-        elif piece.text and shown(piece):
+        inside = piece.article or piece.main
+        if piece.kind == FURNITURE:
+            pass
+        elif piece.text:
             # In a marked main text a link is as much text as any other word.
-            score = weights[WORD if mark else piece.kind] * piece.n
+            score = weights[WORD if inside else piece.kind] * piece.n
+        elif piece.kind in _MAIN:
+            score = -_EDGE * weights[WORD]
+        else:
+            # Inside a marked main text no tag speaks against what follows it.
+            score = (-_LEAST if inside else weights.get(piece.kind, weights[_UNSEEN_TAG])) * piece.n
         if total <= 0:
             total, first = 0.0, place
         total += score
@@ -241,7 +244,7 @@ def main_text(source: str | None, weights: dict[str, float]) -> str:
         if not piece.text:
             if piece.parts():
                 out.append(" ")
-        elif shown(piece):
+        elif piece.kind != FURNITURE:
             out.append(piece.text)
     return " ".join(html.unescape("".join(out)).split())
 

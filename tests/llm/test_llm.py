@@ -254,6 +254,24 @@ def test_main_text(page, text):
     assert html_extract.main_text(page, dict(html_extract._DEFAULT)) == text
 
 
+BODY = " ".join(f"word{i}" for i in range(60))
+
+
+@pytest.mark.parametrize("page", ["<main><p>{}</p><article>A teaser</article></main>", "<div><p>{}</p></div><article>A teaser</article>"])
+def test_a_teaser_article_does_not_take_the_place_of_the_body(page):
+    assert html_extract.main_text(page.format(BODY), dict(html_extract._DEFAULT)) == BODY
+
+
+def test_unmarked_pages_keep_their_body(spark):
+    """The given pages without their marks, by the weights learned with them."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    weights = html_extract.fit_weights(pages)
+    for row in pages.collect():
+        bare = re.sub("</?article>", "", row["html"])
+        marked = html_extract.main_text(row["html"], weights)
+        assert marked and marked in html_extract.main_text(bare, weights)
+
+
 def test_extract_of_odd_rows(spark):
     rows = [(1, None), (1, None), (2, ""), (None, "<p>x</p>")]
     pages = spark.createDataFrame(rows, "page_id long, html string").withColumn("text", F.lit("clash"))
