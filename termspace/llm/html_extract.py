@@ -14,6 +14,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -60,6 +61,12 @@ _FURNITURE_WORDS = frozenset(
     "masthead toolbar pagination pager widget widgets contentinfo complementary search dialog alertdialog skip".split()
 )
 _HEADER_WORDS = frozenset(["header", "topbar"])
+# Before or after a word of furniture: the name says how a page is laid out (has-sidebar, comments-open).
+_LAYOUT_BEFORE = frozenset("has have no not with without right left hide show".split())
+_LAYOUT_AFTER = frozenset("open opened closed on off enabled disabled left right".split())
+# Text in a form makes it a wrapper of the page.
+_FORM_TEXT = re.compile(r"<(?:p|article|main)(?=[\s/>])", re.IGNORECASE)
+_FORM_END = re.compile(r"</form(?=[\s/>])", re.IGNORECASE)
 _KNOWN = _VOID | _RAW | _INLINE | _CLOSES_P | _SAME_CLOSES | _SCOPE | _FURNITURE | frozenset(
     "html tbody thead tfoot caption summary details picture center label legend".split()
 )
@@ -93,6 +100,9 @@ class _Page:
     """The pieces of a page, and whether it marks its main text."""
 
     def __init__(self, source: str):
+        self.source = source
+        # Places of text and of the ends of forms, looked for at the first form.
+        self.form_marks: tuple[list[int], list[int]] | None = None
         self.pieces: list[_Piece] = []
         self.marks: set[str] = set()
         # Open elements: (name, furniture, link).
@@ -111,7 +121,7 @@ class _Page:
                 if token["end"]:
                     self._close(name)
                     continue
-                self._start(name, token["rest"])
+                self._start(name, token["rest"], at)
                 if name in _RAW:
                     # Up to its end tag nothing is markup; it is furniture as a whole.
                     end = re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE).search(source, at)
@@ -131,12 +141,12 @@ class _Page:
         piece.article, piece.main = bool(self.inside["article"]), bool(self.inside["main"])
         self.pieces.append(piece)
 
-    def _start(self, name: str, rest: str) -> None:
+    def _start(self, name: str, rest: str, at: int) -> None:
         if name in _CLOSES_P:
             self._close_within("p")
         if name in _SAME_CLOSES:
             self._close_within(name)
-        furniture = self._is_furniture(name, rest)
+        furniture = self._is_furniture(name, rest, at)
         if name in _MAIN and not (furniture or self.furniture):
             self.marks.add(name)
         self._tag(_FURNITURE_TAG if furniture else name)
@@ -146,8 +156,17 @@ class _Page:
             self.links += name == "a"
             self.inside[name] += name in _MAIN
 
-    def _is_furniture(self, name: str, rest: str) -> bool:
-        if name in _FURNITURE:
+    def _holds_text(self, at: int) -> bool:
+        """Whether the form whose start tag ends at ``at`` holds paragraphs or a main text."""
+        if self.form_marks is None:
+            texts, ends = ([m.start() for m in pattern.finditer(self.source)] for pattern in (_FORM_TEXT, _FORM_END))
+            self.form_marks = texts, ends
+        texts, ends = self.form_marks
+        end = bisect_left(ends, at)
+        return bisect_left(texts, at) < bisect_left(texts, ends[end] if end < len(ends) else len(self.source))
+
+    def _is_furniture(self, name: str, rest: str, at: int) -> bool:
+        if name in _FURNITURE and not (name == "form" and self._holds_text(at)):
             return True
         if name in ("html", "body", *_MAIN) and "comment" not in rest.lower():
             return False
@@ -163,7 +182,12 @@ class _Page:
             return True
         if values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", "").lower():
             return True
-        words = set(re.split(r"[^a-z0-9]+", " ".join(values.get(k, "") for k in ("class", "id", "role")).lower()))
+        words = set()
+        for given in " ".join(values.get(k, "") for k in ("class", "id", "role")).lower().split():
+            parts = re.split(r"[^a-z0-9]+", given)
+            for before, part, after in zip(["", *parts], parts, [*parts[1:], ""]):
+                if before not in _LAYOUT_BEFORE and after not in _LAYOUT_AFTER:
+                    words.add(part)
         return bool(words & _FURNITURE_WORDS) or (not inside and bool(words & _HEADER_WORDS))
 
     def _pop(self) -> None:

@@ -262,6 +262,22 @@ def test_a_teaser_article_does_not_take_the_place_of_the_body(page):
     assert html_extract.main_text(page.format(BODY), dict(html_extract._DEFAULT)) == BODY
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "<div class='content has-sidebar'>{}</div>",
+        "<div id=content class=right-sidebar>{}</div>",
+        "<div class=page-with-nav>{}</div>",
+        "<div class='post comments-open'><article>{}</article></div>",
+        "<form id=aspnet action='/'><div>{}</div></form>",
+        "<form><main>{}</main>",
+    ],
+)
+def test_wrappers_of_the_page_are_no_furniture(wrapper):
+    page = wrapper.format(f"<div class=sidebar>links</div><p>{BODY}</p><form class=x>mail</form>")
+    assert html_extract.main_text(page, dict(html_extract._DEFAULT)) == BODY
+
+
 def test_unmarked_pages_keep_their_body(spark):
     """The given pages without their marks, by the weights learned with them."""
     pages = spark.read.parquet(f"{SF}/pages.parquet")
