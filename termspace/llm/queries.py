@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termspace.llm import decontaminate, exact_dedup, html_extract, interpolation_lm, language, mixing, quality, simhash, token_output, url_filter
+from termspace.llm import decontaminate, divergence, exact_dedup, html_extract, interpolation_lm, language, mixing, quality, simhash, token_output, url_filter
 from termspace.llm.common import lowered, remainder, table
 from termspace.session import scratch_path
 
@@ -119,9 +119,15 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_url_filter, op3_lm_score, op4_html_extract, op5_mixing, op6_token_output, op7_simhash, op8_quality, op9_language, op10_decontaminate)}
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source of every language against the others and against the language."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_url_filter, op3_lm_score, op4_html_extract, op5_mixing, op6_token_output, op7_simhash, op8_quality, op9_language, op10_decontaminate, op12_source_divergence)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_NO_TERM = r"'[\x00-\x40\x5B-\x60\x7B-\x7F]+'"
 _NO_WORD = r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
 SQL = {
@@ -175,4 +181,46 @@ SQL = {
              sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
       FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op12_source_divergence": rf"""
+      WITH d AS (
+        SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+               list_filter(string_split_regex({_LOWER}, {_NO_TERM}), lambda x: length(x) > 0) AS w
+        FROM documents
+      ), t AS (
+        SELECT lang, source, r, unnest(w) AS term FROM d
+      ), kept AS (
+        SELECT lang, term FROM (SELECT DISTINCT lang, r, term FROM t) GROUP BY lang, term HAVING count(*) >= 30
+      ), sizes AS (
+        SELECT lang, count(*) AS v FROM kept GROUP BY lang
+      ), groups AS (
+        SELECT DISTINCT lang, source FROM d
+      ), counts AS (
+        SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term
+      ), totals AS (
+        SELECT lang, source, coalesce(sum(n), 0) AS total
+        FROM groups LEFT JOIN counts USING (lang, source) GROUP BY lang, source
+      ), p AS (
+        SELECT lang, source, term, coalesce(n, 0) AS n,
+               1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (total + 5 * v)::HUGEINT AS p
+        FROM totals JOIN kept USING (lang) JOIN sizes USING (lang) LEFT JOIN counts USING (lang, source, term)
+      ), q AS (
+        SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 5)) // (any_value(whole) + 5 * any_value(v))::HUGEINT AS q
+        FROM counts JOIN (SELECT lang, sum(total) AS whole FROM totals GROUP BY lang) USING (lang)
+        JOIN sizes USING (lang) GROUP BY lang, term
+      ), apart AS (
+        SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+        GROUP BY a.lang, a.source, b.source
+      ), found AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+      ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM found
+      )
+      SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank
+      FROM ranked WHERE part = 'pair' OR place <= 50
+    """,
 }
