@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termspace.llm import decontaminate, divergence, exact_dedup, html_extract, interpolation_lm, language, mixing, quality, simhash, token_output, url_filter
+from termspace.llm import decontaminate, divergence, exact_dedup, html_extract, interpolation_lm, language, mixing, quality, simhash, token_output, url_filter, whitening
 from termspace.llm.common import lowered, remainder, table
 from termspace.session import scratch_path
 
@@ -124,7 +124,12 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_url_filter, op3_lm_score, op4_html_extract, op5_mixing, op6_token_output, op7_simhash, op8_quality, op9_language, op10_decontaminate, op12_source_divergence)}
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the leading components of the covariance, scaled to unit variance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_url_filter, op3_lm_score, op4_html_extract, op5_mixing, op6_token_output, op7_simhash, op8_quality, op9_language, op10_decontaminate, op12_source_divergence, op13_whitening)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _NO_TERM = r"'[\x00-\x40\x5B-\x60\x7B-\x7F]+'"
