@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termspace.llm import decontaminate, divergence, exact_dedup, html_extract, interpolation_lm, language, mixing, quality, simhash, token_output, url_filter, whitening
+from termspace.llm import decontaminate, divergence, exact_dedup, html_extract, interpolation_lm, language, mixing, quality, simhash, token_output, toxicity, url_filter, whitening
 from termspace.llm.common import lowered, remainder, table
 from termspace.session import scratch_path
 
@@ -119,6 +119,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity; labels of a fifth of the documents are kept back."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit_toxicity(documents, labels.filter(remainder("doc_id", 5) != 0))
+    scored = documents.select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        toxicity.toxicity_score(model, documents, "text").alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every source of every language against the others and against the language."""
     return divergence.audit(table(spark, sf_dir, "documents"))
@@ -129,7 +141,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_url_filter, op3_lm_score, op4_html_extract, op5_mixing, op6_token_output, op7_simhash, op8_quality, op9_language, op10_decontaminate, op12_source_divergence, op13_whitening)}
+QUERIES = {query.__name__: query for query in (op1_exact_dedup, op2_url_filter, op3_lm_score, op4_html_extract, op5_mixing, op6_token_output, op7_simhash, op8_quality, op9_language, op10_decontaminate, op11_toxicity, op12_source_divergence, op13_whitening)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _NO_TERM = r"'[\x00-\x40\x5B-\x60\x7B-\x7F]+'"
