@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from termspace.llm.common import columns_as, fresh_name, row_key, texts_of
 from termspace.llm.components import connected_components
-from termspace.llm.near_sets import near_sets
 from termspace.session import scratch_path, settle
 
 BITS = 64
@@ -365,20 +364,40 @@ def near_duplicates(
     return found.select(F.col("_id").alias(doc_id), hex_print().alias("fingerprint"), F.col("_first").alias("component_id"))
 
 
-def keep_one_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", work: str | None = None) -> DataFrame:
-    """One row of each group of near duplicates, all columns of ``docs``.
+def keep_one_each(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    radius: int = RADIUS,
+    group: int = GROUP,
+    work: str | None = None,
+) -> DataFrame:
+    """One row of each component of ``near_duplicates``, all columns of ``docs``.
 
-    Near are texts whose shingles of five words are similar by 0.8 or more, see
-    ``near_sets``; fingerprints play no part. The row with the smallest doc_id
-    stays, one without id only if there is none with; of rows that share their
-    id the one with the smallest hash of its text, and of rows equal in both any
-    one. Texts without words are near each other.
+    The row with the smallest doc_id stays, one without id only if there is none
+    with; of rows that share their id the one with the smallest digest of its
+    text, and of rows equal in both any one. Texts without words, null or empty,
+    are near each other. An empty table stays empty; other columns are carried
+    along and may have any name.
     """
-    work = work or scratch_path(docs.sparkSession, "near")
-    sets = near_sets(docs, doc_id, text, work)
-    best = sets.groupBy("_component").agg(F.min("_best").alias("_best"))
-    id_, key = fresh_name(docs, "_row_id"), fresh_name(docs, "_row_key")
-    kept = settle(best.select(F.col("_best._id").alias(id_), F.col("_best._key").alias("_kept")), "kept", work)
-    keyed = docs.withColumn(key, row_key(doc_id, text))
-    same = (keyed[key] == kept["_kept"]) & keyed[doc_id].eqNullSafe(kept[id_])
-    return keyed.join(kept, same, "left_semi").dropDuplicates([doc_id, key]).drop(key)
+    work = work or scratch_path(docs.sparkSession, "simhash")
+    digest, row = fresh_name(docs, "_digest"), fresh_name(docs, "_row")
+    keyed = docs.withColumn(digest, F.coalesce(F.md5(text), F.lit("")))
+    keyed = keyed.withColumn(row, F.struct(F.col(doc_id).isNull().alias("n"), F.col(doc_id).alias("id"), F.col(digest).alias("key")))
+    rows = settle(fingerprints(keyed, row, text).select("_id", "_print"), "rows", work)
+    kept = near_groups(rows, radius, group, work).select(F.col("_first").alias("_best")).distinct()
+    repeated = rows.groupBy("_id").count().filter("count > 1").select(F.col("_id").alias("_best"), F.lit(True).alias("_again"))
+    kept = settle(kept.join(repeated, "_best", "left"), "kept", work)
+
+    def chosen(which: Column) -> DataFrame:
+        # Digest and id are compared apart, so that the join has a key without nulls.
+        best = kept.filter(which).select(F.col("_best.id").alias("_best_id"), F.col("_best.key").alias("_best_key"))
+        same = (keyed[digest] == best["_best_key"]) & keyed[doc_id].eqNullSafe(best["_best_id"])
+        return keyed.join(best, same, "left_semi").drop(row)
+
+    again = F.col("_again").isNotNull()
+    found = chosen(~again).drop(digest)
+    if kept.filter(again).isEmpty():
+        return found
+    # Of equal rows one stays; only these are gathered by their content.
+    return found.unionByName(chosen(again).dropDuplicates([doc_id, digest]).drop(digest))

@@ -21,7 +21,6 @@ from termspace.llm import (
     interpolation_lm,
     language,
     mixing,
-    near_sets,
     quality,
     queries,
     simhash,
@@ -486,59 +485,14 @@ def test_simhash_of_odd_rows(odd, none):
     assert simhash.near_duplicates(none).count() == 0 and simhash.keep_one_each(none).count() == 0
 
 
-def shingle_bags(text, size=5):
-    w = words(text)
-    return collections.Counter(tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))) if w else collections.Counter()
-
-
-def nearness(a, b):
-    """The larger one of the Jaccard similarities of sets and of bags."""
-    return max(len(a.keys() & b.keys()) / max(1, len(a.keys() | b.keys())), (a & b).total() / max(1, (a | b).total()))
-
-
-@pytest.mark.parametrize("cell", [near_sets.CELL, 2_000])
-def test_near_sets_are_those_of_similar_shingles(spark, tmp_path, cell):
-    """Chains, repeats and pairs on both sides of the bound, compared whole or in blocks."""
-    rng = np.random.default_rng(5)
-
-    def edited(text, n):
-        text = text.split()
-        for at in rng.choice(len(text), n, replace=False):
-            text[at] = f"x{rng.integers(10**9)}"
-        return " ".join(text)
-
-    found = []
-    for n in range(40):
-        base = " ".join(f"w{x}" for x in rng.integers(0, 2_000, 200))
-        found += [base, edited(base, 1), edited(base, 3), edited(base, 4), edited(base, 6)]
-        found += [base + " " + base, edited(base.upper(), 2)] if n < 10 else []
-    chain = " ".join(f"c{x}" for x in range(200))
-    for _ in range(8):
-        found.append(chain := edited(chain, 2))
-    bags = [shingle_bags(t) for t in found]
-    parent = list(range(len(found)))
-
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    far_prints = 0
-    prints = [simhash.fingerprint(t.encode()) for t in found]
-    for i in range(len(found)):
-        for j in range(i + 1, len(found)):
-            if nearness(bags[i], bags[j]) >= 0.8:
-                far_prints += (prints[i] ^ prints[j]).bit_count() > simhash.RADIUS
-                a, b = sorted((root(i), root(j)))
-                parent[b] = a
-    assert far_prints > 50
-    want = [i for i in range(len(found)) if root(i) == i]
-    docs = spark.createDataFrame(list(enumerate(found)), "doc_id long, text string")
-    sets = near_sets.near_sets(docs, "doc_id", "text", str(tmp_path / "near"), cell)
-    firsts = sets.groupBy("_component").agg(F.min("_best._id").alias("first")).collect()
-    assert sorted(r["first"] for r in firsts) == want
-    if cell == near_sets.CELL:
-        assert sorted(r["doc_id"] for r in simhash.keep_one_each(docs).collect()) == want
+def test_one_of_each_component_stays(spark, documents, texts):
+    ids = sorted(texts)
+    parts = components_by_hand(np.array([simhash.fingerprint(texts[i].encode()) for i in ids], dtype=np.uint64))
+    want = sorted({part: i for i, part in reversed(list(zip(ids, parts)))}.values())
+    assert sorted(r["doc_id"] for r in simhash.keep_one_each(documents).collect()) == want
+    twice = documents.unionByName(documents.filter("doc_id % 3 = 0"))
+    kept = simhash.keep_one_each(twice)
+    assert kept.columns == documents.columns and sorted(r["doc_id"] for r in kept.collect()) == want
 
 
 # Quality and language.
