@@ -46,9 +46,6 @@ def main(args: argparse.Namespace) -> None:
     else:
         raw = articles.read_article_files(spark, args.input, packed)
     rows = articles.extract_articles(raw, style)
-    if kind == "collection":
-        damaged = articles.damaged_files(spark, args.input)
-        rows = rows.unionByName(damaged, allowMissingColumns=True)
     if args.json:
         work = scratch_path(spark, "extract")
         good, bad = articles.split_quarantine(settle(rows, "rows", work))

@@ -11,6 +11,11 @@ are derived from them, whole, as follows:
 
 from __future__ import annotations
 
+import gzip
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +28,7 @@ from termspace.plans import stages, training
 from termspace.schemas import ARTICLE
 from termspace.session import fill_cores, scratch_path, settle
 from termspace.sources import articles, pages, records, vectors
+from termspace.sources.streams import filesystem_of
 from termspace.streaming import articles as article_stream
 from termspace.streaming import mentions as mention_stream_job
 
@@ -196,6 +202,62 @@ def incremental_conversion(spark, sf_dir) -> DataFrame:
     return good.select("doi", "fulltext").unionByName(bad.select(bad_ids, F.lit("").alias("fulltext")))
 
 
+# Articles per damaged file, and the place of the one that is hit.
+FILE_ARTICLES, HIT = 64, 40
+
+
+def damaged_files(xml: DataFrame, folder: str) -> None:
+    """Gzip collections of consecutive documents, a member each, below ``folder``.
+
+    Of every four files one is whole, one ends in the middle of a member, one
+    has a member whose data do not fit their checksum, one has bytes that begin
+    no member. A file without the member that would be hit is whole.
+    """
+
+    def write(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((i, x) for b in batches for i, x in zip(b["doc_id"].to_pylist(), b["xml"].to_pylist()))
+        members = [gzip.compress(x.encode(), mtime=0) for _, x in rows]
+        harm = key[0].as_py() % 4
+        if harm and len(members) > HIT:
+            member = members[HIT]
+            if harm == 1:
+                members[HIT:] = [member[: len(member) // 2]]
+            elif harm == 2:
+                members[HIT] = member[:-8] + bytes(b ^ 255 for b in member[-8:-4]) + member[-4:]
+            else:
+                members[HIT] = b"no gzip" + member
+        files, inner = filesystem_of(folder)
+        files.create_dir(inner)
+        # Written under another name first: a task that is repeated leaves no half file.
+        name = f"{inner}/{key[0].as_py():09d}.xml.gz"
+        draft = f"{name}.{uuid.uuid4().hex}.tmp"
+        with files.open_output_stream(draft, compression=None) as out:
+            out.write(b"".join(members))
+        files.move(draft, name)
+        yield pa.RecordBatch.from_pydict({"file": [name]})
+
+    filed = xml.withColumn("file", F.floor(F.col("doc_id") / FILE_ARTICLES).cast("long"))
+    filed.select("file", "doc_id", "xml").groupBy("file").applyInArrow(write, "file string").count()
+
+
+def damaged_collection(spark, sf_dir) -> DataFrame:
+    """Gzip collections, some cut or damaged, read by the batch job and by the incremental one.
+
+    Every article before a break, and one row for each break.
+    """
+    folder, output, checkpoint = (scratch_path(spark, x) for x in ("collection", "converted", "progress"))
+    damaged_files(article_xml(spark, sf_dir), folder)
+    batch = articles.split_quarantine(articles.extract_articles(articles.read_article_collection(spark, folder)))
+    article_stream.convert_new_files(spark, folder, output, checkpoint).awaitTermination()
+    found = []
+    for job, (good, bad) in (("batch", batch), ("stream", article_stream.read_converted(spark, output))):
+        file = F.regexp_extract("source_file", r"([0-9]+)\.xml\.gz$", 1).cast("long")
+        found.append(good.select(F.lit(job).alias("job"), file.alias("file"), "doi", F.lit("article").alias("status")))
+        why = F.when(F.startswith("error", F.lit("broken at byte ")), "broken").otherwise(F.col("error")).alias("status")
+        found.append(bad.select(F.lit(job).alias("job"), file.alias("file"), F.lit(None).cast("string").alias("doi"), why))
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
 def page_article_block(spark, sf_dir) -> DataFrame:
     """The page with a line break before its article, cut there."""
     start = F.instr("html", "<article")
@@ -519,6 +581,7 @@ QUERIES = {
         xml_collection,
         quarantine,
         incremental_conversion,
+        damaged_collection,
         page_article_block,
         page_metadata,
         page_paragraphs,

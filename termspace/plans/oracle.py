@@ -167,6 +167,20 @@ SQL = {
     "quarantine": """
         SELECT doc_id, CASE WHEN lang = 'de' THEN 'quarantine' ELSE 'article' END AS status FROM documents
     """,
+    "damaged_collection": """
+        WITH d AS (
+          SELECT doc_id, doc_id // 64 AS file, row_number() OVER (PARTITION BY doc_id // 64 ORDER BY doc_id) - 1 AS place,
+                 count(*) OVER (PARTITION BY doc_id // 64) AS n
+          FROM documents
+        ), f AS (
+          SELECT *, CASE WHEN n <= 40 OR file % 4 = 0 THEN n WHEN file % 4 = 2 THEN 41 ELSE 40 END AS whole FROM d
+        ), found AS (
+          SELECT file, '10.1/' || doc_id AS doi, 'article' AS status FROM f WHERE place < whole
+          UNION ALL
+          SELECT DISTINCT file, NULL, 'broken' FROM f WHERE n > 40 AND file % 4 <> 0
+        )
+        SELECT job, found.* FROM found, (VALUES ('batch'), ('stream')) jobs(job)
+    """,
     "incremental_conversion": _with(
         "SELECT doi, CASE WHEN lang = 'es' THEN '' ELSE fulltext END AS fulltext FROM articles", articles=ARTICLES
     ),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gzip
 import io
 import re
 import tarfile
@@ -12,62 +11,86 @@ from xml.etree import ElementTree
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
-from termspace.schemas import DOI_PATH, JATS_STYLE, TEXT_COLUMNS, article_schema, metadata_columns
+from termspace.schemas import DOI_PATH, FILES, JATS_STYLE, TEXT_COLUMNS, article_schema, metadata_columns
+from termspace.sources.streams import Broken, gunzipped, parted, pieces_of, tasks_can_open
 
 ARTICLE_END = "</article>"
-# What a cut or damaged archive or gzip file raises.
+# Names that do not end in .gz, as a glob.
+NOT_GZIP = "{*[!z],*[!g]z,*[!.]gz,z,gz}"
+# Article text that is handed on at once.
+BATCH_BYTES = 4 * 2**20
+# What a cut or damaged archive raises.
 _BROKEN = (tarfile.TarError, EOFError, OSError, zlib.error)
 
 
 def read_article_collection(spark: SparkSession, path: str | list[str], spread: int | None = None) -> DataFrame:
-    """(source_file, xml): the articles of collection files, plain or compressed.
-
-    The reader parts the text after each closing tag, so a file is never held
-    whole and plain files are split among tasks. A compressed file is read by
-    one task; ``spread`` shuffles its articles to that many partitions before
-    they are parsed. Of a cut or damaged file what comes before the break is
-    read, and ``damaged_files`` names it.
+    """(source_file, xml, broken): the articles of collection files, plain or compressed.
+
+    Texts are parted after each closing tag, so a file is never held whole.
+    Plain files are split among tasks; a gzip file is decompressed piece by piece
+    by one task, and ``spread`` shuffles the articles to that many partitions
+    before they are parsed. A gzip file that is cut or damaged gives every
+    article before the break, then one row that says in ``broken`` where and why
+    it breaks, with the open article as ``xml``. A read that fails fails the
+    task, which is tried again.
     """
-    reader = spark.read.option("lineSep", ARTICLE_END).option("ignoreCorruptFiles", True)
-    return collection_articles(reader.text(path), spread)
-
+    first = path if isinstance(path, str) else path[0]
+    return collection_articles(spark, spark.read, path, tasks_can_open(spark, first), spread)
 
-def damaged_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(source_file, error) of the gzip files that cannot be read to their end.
 
-    They are decompressed piece by piece to find out, so this reads them once more.
-    """
-
-    def broken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file, content in zip(batch["path"], batch["content"]):
-                problem = None
-                try:
-                    with gzip.open(io.BytesIO(content.as_buffer())) as data:
-                        while data.read(2**20):
-                            pass
-                except _BROKEN as found:
-                    problem = str(found)
-                if problem is not None:
-                    yield pa.RecordBatch.from_pydict({"source_file": [str(file)], "error": [problem]})
-
-    files = spark.read.format("binaryFile").load(path).filter(F.col("path").endswith(".gz"))
-    return files.select("path", "content").mapInArrow(broken, "source_file string, error string")
-
-
-def collection_articles(pieces: DataFrame, spread: int | None = None) -> DataFrame:
-    articles = pieces.select(
+def collection_articles(
+    spark: SparkSession, reader: DataFrameReader | DataStreamReader, path: str | list[str], by_path: bool, spread: int | None = None
+) -> DataFrame:
+    """The articles below ``path`` by a batch or stream reader; ``by_path``: tasks open gzip files themselves."""
+    plain = reader.option("lineSep", ARTICLE_END).option("pathGlobFilter", NOT_GZIP).format("text").load(path)
+    plain = plain.select(
         F.col("_metadata.file_path").alias("source_file"),
         F.regexp_extract("value", r"(?s)<article[\s>].*", 0).alias("article"),
     ).filter("article <> ''")
-    articles = articles.select("source_file", F.concat("article", F.lit(ARTICLE_END)).alias("xml"))
+    plain = plain.select("source_file", F.concat("article", F.lit(ARTICLE_END)).alias("xml"), F.lit(None).cast("string").alias("broken"))
+    files = (spark.readStream if isinstance(reader, DataStreamReader) else spark.read).format("binaryFile").schema(FILES)
+    files = files.option("pathGlobFilter", "*.gz").load(path)
+    # Without the content Spark only lists the files.
+    content = F.lit(None).cast("binary") if by_path else F.col("content")
+    files = files.select(F.col("_metadata.file_path").alias("source_file"), "path", content.alias("content"))
+    articles = plain.unionByName(files.mapInArrow(_gzip_articles, "source_file string, xml string, broken string"))
     return articles.repartition(spread) if spread else articles
 
 
+def _gzip_articles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for name, path, content in zip(batch["source_file"].to_pylist(), batch["path"].to_pylist(), batch["content"]):
+            pieces = iter([content.as_buffer().to_pybytes()]) if content.is_valid else pieces_of(path)
+            rows, size, last = [], 0, None
+            try:
+                for article, closed in parted(gunzipped(pieces), rb"<article[\s>]", ARTICLE_END.encode()):
+                    text = article.decode("utf-8", "replace")
+                    if not closed:
+                        last = text
+                        continue
+                    rows.append((name, text, None))
+                    size += len(article)
+                    if size > BATCH_BYTES:
+                        yield _article_batch(rows)
+                        rows, size = [], 0
+                if last is not None:
+                    rows.append((name, last + ARTICLE_END, None))
+            except Broken as problem:
+                rows.append((name, last, str(problem)))
+            if rows:
+                yield _article_batch(rows)
+
+
+def _article_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(column, pa.string()) for column in zip(*rows)]
+    return pa.RecordBatch.from_arrays(columns, ["source_file", "xml", "broken"])
+
+
 def read_article_files(spark: SparkSession, path: str | list[str], compressed: str | None = None) -> DataFrame:
     """(source_file, xml): one article per file, or per member of a ``tar.gz`` archive.
 
@@ -125,6 +148,8 @@ def extract_articles(
 ) -> DataFrame:
     """Article rows from (source_file, xml): metadata by path, texts, and ``error``/``xml`` of bad input.
 
+    A row whose column ``broken``, if there is one, is not null has that as its error.
+
     Each metadata column lists the texts of the elements its path finds; a path
     that cannot be evaluated gives null. The text columns join the paragraphs of
     body and abstract by a space. ``nested``: a paragraph inside a paragraph is
@@ -143,7 +168,8 @@ def extract_articles(
 
     def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = [article_values(xml, paths, nested) for xml in frame["xml"]]
+            broken = frame["broken"] if "broken" in frame else [None] * len(frame)
+            rows = [article_values(xml, paths, nested, why) for xml, why in zip(frame["xml"], broken)]
             parsed = pd.DataFrame(rows, index=frame.index, dtype=object)
             parsed["source_file"] = frame["source_file"]
             parsed["xml"] = frame["xml"].where(parsed["error"].notna(), None)
@@ -151,7 +177,8 @@ def extract_articles(
                 parsed[name] = frame[name]
             yield parsed.reindex(columns=columns)
 
-    return df.select("source_file", "xml", *keep).mapInPandas(extract, schema)
+    given = [c for c in ("broken",) if c in df.columns and c not in keep]
+    return df.select("source_file", "xml", *given, *keep).mapInPandas(extract, schema)
 
 
 # Prefixes that XML reserves; they are not declared by a document.
@@ -165,9 +192,11 @@ def _parse(xml: str) -> ElementTree.Element:
     return ElementTree.fromstring(f"<collection{declared}>{xml}</collection>")[0]
 
 
-def article_values(xml: str | None, paths: dict[str, str], nested: str = "repeat") -> dict:
-    """Column values of one article, or its error."""
+def article_values(xml: str | None, paths: dict[str, str], nested: str = "repeat", broken: str | None = None) -> dict:
+    """Column values of one article, or its error, which ``broken`` is if given."""
     values = dict.fromkeys([*paths, *TEXT_COLUMNS, "error"])
+    if broken is not None:
+        return {**values, "error": broken}
     if not xml:
         return {**values, "error": "no article"}
     try:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from termspace.schemas import FILES, JATS_STYLE
-from termspace.sources.articles import ARTICLE_END, collection_articles, file_articles, extract_articles
+from termspace.sources.articles import collection_articles, extract_articles, file_articles
+from termspace.sources.streams import tasks_can_open
 
 
 def convert_new_files(
@@ -27,13 +28,14 @@ def convert_new_files(
     a whole, so a failed run leaves neither gaps nor halves. Bad articles go to
     the partition ``status=quarantine`` of the same table. ``compressed="gz"``:
     the files are tar.gz archives, of which a broken one becomes a quarantine
-    row. Of a cut collection what comes before the break is converted.
+    row. Of a cut or damaged gzip collection what comes before the break is
+    converted, and the break becomes a quarantine row; a read that fails fails
+    the run, and the next one takes the file again.
     """
-    reader = spark.readStream
     if kind == "collection":
-        raw = collection_articles(reader.option("lineSep", ARTICLE_END).option("ignoreCorruptFiles", True).text(source), spread)
+        raw = collection_articles(spark, spark.readStream, source, tasks_can_open(spark, source), spread)
     elif kind == "files":
-        raw = file_articles(reader.format("binaryFile").schema(FILES).load(source), compressed)
+        raw = file_articles(spark.readStream.format("binaryFile").schema(FILES).load(source), compressed)
     else:
         raise ValueError(f"kind: collection or files, not {kind!r}")
     status = F.when(F.col("error").isNull(), "article").otherwise("quarantine")
