@@ -575,6 +575,28 @@ def mention_lots(spark, sf_dir) -> DataFrame:
     return found.select("in_reply_to", "author", "kind", "reply", "url")
 
 
+def mention_replay(spark, sf_dir) -> DataFrame:
+    """Every event as a mention five times: in one lot with two times and without one, then another day, then again without.
+
+    The earliest of the first lot is answered, and the others never.
+    """
+    given = mentions(table(spark, sf_dir, "events"))
+    later, none = F.col("ts") + F.expr("INTERVAL 2 MINUTES"), F.lit(None).cast("timestamp")
+    elsewhere = F.concat(F.col("text"), F.lit(" + 1"))
+    first = [given, given.withColumns({"ts": later, "text": elsewhere}), given.withColumns({"ts": none, "text": elsewhere})]
+    lots = [
+        first[1].unionByName(first[2]).unionByName(first[0]),
+        given.withColumns({"ts": F.col("ts") + F.expr("INTERVAL 40 DAYS"), "text": elsewhere}),
+        given.withColumns({"ts": none, "text": elsewhere}),
+    ]
+    vectors, replies = id_vectors(spark, sf_dir), scratch_path(spark, "replies")
+    for lot in lots:
+        # Small lots of files, so that ids move to the index between the lots.
+        mention_stream_job.append_replies(lot, vectors, BOT, replies, lot_files=1)
+    found = mention_stream_job.read_replies(spark, replies)
+    return found.select("in_reply_to", "author", "kind", "reply", "url")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -621,5 +643,6 @@ QUERIES = {
         cancelled_sums,
         zero_queries,
         mention_lots,
+        mention_replay,
     )
 }

@@ -408,4 +408,5 @@ SQL |= {
       QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY place) <= 5
     """,
     "mention_lots": SQL["mention_stream"],
+    "mention_replay": SQL["mention_stream"],
 }

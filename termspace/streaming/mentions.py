@@ -10,8 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from termspace.operators.answers import LINK_BASE, direct_mentions, reply_to
-from termspace.schemas import MENTIONS, REPLIES
+from termspace.schemas import MENTIONS
 from termspace.session import remove, scratch_path, settle
+from termspace.streaming.answered import AnsweredIds, bucket_of, read_replies
+
+__all__ = ["MentionMetrics", "answer_stream", "append_replies", "fresh_mentions", "read_mentions", "read_replies"]
 
 POLL = "60 seconds"
 
@@ -56,42 +59,32 @@ def answer_stream(
     )
 
 
-def append_replies(batch: DataFrame, vectors: DataFrame, name: str, replies: str, link_base: str = LINK_BASE) -> None:
-    """Reply to the mentions of a batch that have no reply yet.
+def append_replies(batch: DataFrame, vectors: DataFrame, name: str, replies: str, link_base: str = LINK_BASE, **lots) -> None:
+    """Reply to the mentions of a batch that have no reply yet: one reply per id, for good.
 
-    Of rows that share an id one is answered. The reply table is partitioned by
-    date, mentions without time in a partition of their own; only the partitions
-    of the batch are looked at for replies that exist, so a mention that comes
-    again must come with its time.
+    An id counts as answered whatever time it came with before, see
+    ``AnsweredIds``. Of rows of a batch that share an id the earliest is answered,
+    one without time only if there is none with; of equal times the first text,
+    then the first author. A mention without id cannot be replied to and is left
+    out.
     """
     spark = batch.sparkSession
     work = scratch_path(spark, "mentions")
     # The batch is read several times below; its state store must be read once.
     try:
-        batch = settle(batch.withColumn("reply_date", F.to_date("ts")).dropDuplicates(["id"]), "batch", work)
-        day = F.col("reply_date")
-        first, last, rows, dated = batch.agg(F.min(day), F.max(day), F.count("*"), F.count(day)).first()
-        if not rows:
+        first = F.min(F.struct(F.col("ts").isNull().alias("late"), "ts", "text", "author")).alias("m")
+        one = batch.filter(F.col("id").isNotNull()).groupBy("id").agg(first).select("id", "m.ts", "m.author", "m.text")
+        batch = settle(one.withColumn("bucket", bucket_of("id")), "batch", work)
+        low, high, buckets = batch.agg(F.min("id"), F.max("id"), F.collect_set("bucket")).first()
+        if low is None:
             return
-        known = read_replies(spark, replies)
-        if known is not None:
-            asked = day.between(first, last) if dated else F.lit(False)
-            known = known.filter(asked | day.isNull() if rows > dated else asked)
-            batch = batch.join(known.select(F.col("in_reply_to").alias("id")), "id", "left_anti")
-        answered = reply_to(batch, vectors, name, link_base, work).withColumn("reply_date", F.to_date("ts"))
-        # Few files per date, and a date with many replies in several tasks.
-        answered.hint("rebalance", "reply_date").write.mode("append").partitionBy("reply_date").parquet(replies)
+        answered = AnsweredIds(spark, replies, **lots)
+        batch = answered.unanswered(batch.drop("bucket"), buckets, low, high)
+        answered.append(reply_to(batch, vectors, name, link_base, work).withColumn("reply_date", F.to_date("ts")))
     finally:
         remove(spark, work)
 
 
-def read_replies(spark: SparkSession, path: str) -> DataFrame | None:
-    """The reply table, or None before the first batch."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return spark.read.schema(REPLIES).parquet(path) if files.exists(folder) else None
-
-
 class MentionMetrics(StreamingQueryListener):
     """How many mentions were retrieved and the newest id: of the latest batches, and in all."""
 
