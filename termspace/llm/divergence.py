@@ -16,15 +16,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termspace.llm.common import columns_as, lowered
+from termspace.llm.common import bounded_slices, columns_as, text_bytes, texts_of
 from termspace.session import scratch_path, settle
 
-# What parts terms (ASCII but letters), the unit of a share and the count added to every term.
-NOT_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+# The unit of a share and the count added to every term.
 UNIT = 1_000_000_000
 SMOOTH = 5
 MIN_DOCUMENTS = 30
@@ -37,13 +37,43 @@ FIT_TERMS = 2**21
 SOURCE_BLOCK, TERM_BLOCK = 64, 4_096
 
 _END = "\x00"
+SLICE = 2 * 2**20
 
+# Bytes of terms: ASCII letters, and all bytes of other characters. A-Z become a-z.
+_BYTES = np.arange(256)
+_CAPITAL = (_BYTES >= 65) & (_BYTES <= 90)
+_TERM_BYTE = _CAPITAL | ((_BYTES >= 97) & (_BYTES <= 122)) | (_BYTES >= 128)
+_LOWER = (_BYTES + 32 * _CAPITAL).astype(np.uint8)
 
-def term_tokens(text: Column | str, lang: Column | str) -> Column:
-    """array<string>: every term of a text with its language after a mark that no term holds."""
-    mark = F.concat(F.lit(_END), lang)
-    terms = F.filter(F.split(lowered(text), NOT_TERM), lambda t: t != "")
-    return F.transform(terms, lambda t: F.concat(t, mark))
+
+def term_tokens(docs: DataFrame) -> DataFrame:
+    """(_lang, _source, _tokens): every term of a text with its language after a mark that no term holds."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, langs = texts_of(batch["_text"]), batch["_lang"]
+            data, offsets = text_bytes(texts)
+            for first, last in bounded_slices(offsets, SLICE):
+                tokens = _tokens(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], langs[first:last])
+                yield pa.RecordBatch.from_arrays([langs[first:last], batch["_source"][first:last], tokens], ["_lang", "_source", "_tokens"])
+
+    return docs.select("_text", "_lang", "_source").mapInArrow(cut, "_lang string, _source string, _tokens array<string>")
+
+
+def _tokens(data: np.ndarray, offsets: np.ndarray, langs: pa.Array) -> pa.ListArray:
+    inside = _TERM_BYTE[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    edges = offsets[:-1][offsets[:-1] < len(data)]
+    begins[edges] = inside[edges]
+    starts = np.flatnonzero(begins)
+    # Places of the terms when all else is left out.
+    place = np.append(np.cumsum(inside)[starts] - 1, inside.sum()).astype(np.int32)
+    terms = pa.StringArray.from_buffers(len(starts), pa.py_buffer(place), pa.py_buffer(_LOWER[data[inside]]))
+    each = np.searchsorted(starts, offsets)
+    marks = pc.binary_join_element_wise(pa.scalar(_END), langs, "")
+    marked = pc.binary_join_element_wise(terms, marks.take(pa.array(np.repeat(np.arange(len(langs)), np.diff(each)))), "")
+    return pa.ListArray.from_arrays(pa.array(each, pa.int32()), marked)
 
 
 def group_counts(
@@ -59,8 +89,9 @@ def group_counts(
     (_lang, _source, _index, _count), only those above zero.
     """
     spark = docs.sparkSession
-    tokens = docs.select("_lang", "_source", term_tokens("_text", F.col("_lang")).alias("_tokens"))
-    groups = settle(docs.select("_lang", "_source").distinct(), "groups", work)
+    # Texts are cut once; counting, fitting and turning into vectors read the terms.
+    tokens = settle(term_tokens(docs), "tokens", work)
+    groups = settle(tokens.select("_lang", "_source").distinct(), "groups", work)
     # How many terms are kept decides in how many parts they are fitted, before any reaches the driver.
     each = tokens.select(F.explode(F.array_distinct("_tokens")).alias("_token")).groupBy("_token").count()
     kept = each.filter(F.col("count") >= min_documents).count()
