@@ -38,6 +38,8 @@ SOURCE_BLOCK, TERM_BLOCK = 64, 4_096
 
 _END = "\x00"
 SLICE = 2 * 2**20
+# Entries of sparse vectors that are added up at once; a longer vector is added by itself.
+ENTRIES = 2**20
 
 # Bytes of terms: ASCII letters, and all bytes of other characters. A-Z become a-z.
 _BYTES = np.arange(256)
@@ -131,14 +133,38 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def group_sums(vectors: DataFrame, index: Column) -> DataFrame:
-    """(_lang, _source, _index, _count): the sparse vectors of each group summed, as whole numbers."""
+    """(_lang, _source, _index, _count): the sparse vectors of each group summed, as whole numbers.
+
+    A task adds up the vectors of a stretch of rows, in all groups at once,
+    before anything is shuffled.
+    """
     vector = F.unwrap_udt("_vector")
-    entries = vectors.select("_lang", "_source", F.explode(F.arrays_zip(vector["indices"].alias("i"), vector["values"].alias("v"))).alias("_entry"))
-    entries = entries.select("_lang", "_source", F.col("_entry.i").alias("_pos"), F.col("_entry.v").cast("long").alias("_n"))
-    sums = entries.groupBy("_lang", "_source", "_pos").agg(F.sum("_n").alias("_count"))
+    entries = vectors.select("_lang", "_source", vector["indices"].alias("_at"), vector["values"].alias("_n"))
+    partial = entries.mapInArrow(_stretch_sums, "_lang string, _source string, _pos int, _n long")
+    sums = partial.groupBy("_lang", "_source", "_pos").agg(F.sum("_n").alias("_count"))
     return sums.select("_lang", "_source", index.alias("_index"), "_count")
 
 
+def _stretch_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lang, source = (batch[c].dictionary_encode() for c in ("_lang", "_source"))
+        wide = max(1, len(source.dictionary))
+        group = lang.indices.to_numpy().astype(np.int64) * wide + source.indices.to_numpy()
+        sizes = np.append(0, np.cumsum(pc.list_value_length(batch["_at"]).to_numpy()))
+        for first, last in bounded_slices(sizes, ENTRIES):
+            at, n = (batch[c][first:last].flatten().to_numpy() for c in ("_at", "_n"))
+            key = np.repeat(group[first:last], np.diff(sizes[first : last + 1])) << 32 | at
+            different, place = np.unique(key, return_inverse=True)
+            total, of = np.bincount(place, n, len(different)).astype(np.int64), different >> 32
+            columns = [
+                lang.dictionary.take(pa.array(of // wide)),
+                source.dictionary.take(pa.array(of % wide)),
+                pa.array((different & 0xFFFFFFFF).astype(np.int32)),
+                pa.array(total),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["_lang", "_source", "_pos", "_n"])
+
+
 def _share(count: Column, total: Column, terms: Column, smooth: int) -> Column:
     """1 + floor(UNIT * (count + smooth) / (total + smooth * terms)), by whole numbers that cannot overflow."""
     above = (count + smooth).cast("decimal(19,0)") * F.lit(UNIT).cast("decimal(10,0)")
