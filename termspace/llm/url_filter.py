@@ -40,11 +40,14 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def candidate_keys(host: Column, path: Column, path_lengths: list[int]) -> Column:
-    """Keys of all rules that could fit: host and parent domains, each with path beginnings of the listed lengths."""
+def candidate_keys(host: Column, path: Column, path_lengths: list[int], most_labels: int) -> Column:
+    """Keys of all rules that could fit: host and parent domains, each with path beginnings of the listed lengths.
+
+    Of a host only domains of up to ``most_labels`` labels are asked for, as the longest listed host has no more.
+    """
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    domains = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
+    domains = F.transform(F.sequence(F.greatest(F.lit(1), n - (most_labels - 1)), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
     lengths = F.filter(F.array(*[F.lit(x) for x in path_lengths]), lambda x: x <= F.length(path))
     keys = F.flatten(F.transform(domains, lambda d: F.transform(lengths, lambda x: F.concat(d, F.substring(path, 1, x)))))
     # Longest first; equally long ones by code point.
@@ -155,7 +158,8 @@ def judge_urls(
     rule. Without a fitting rule ``rule`` is null and the verdict ``default``:
     a url in neither list. A null url, or one without ``://``, has an empty host
     and path. Rules with a null host, path or verdict fit nothing. Repeated rows
-    are judged alike; an empty page or rule table is fine.
+    are judged alike; an empty page or rule table is fine. Urls of any length are
+    judged whole; a host costs no more than the labels of the longest listed one.
 
     The lists become two Bloom cascades, exact over every key that any url of
     the table can ask for; the urls are then judged where they are read, with
@@ -165,12 +169,13 @@ def judge_urls(
     work = work or scratch_path(spark, "urls")
     pages = columns_as(pages, _id=page_id, _url=url)
     rules = rules.select("host", "path", "verdict").dropna()
-    rules = rules.select(F.concat(F.translate("host", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "path").alias("key"), F.length("path").alias("n"), "verdict")
+    rules = rules.select(F.concat(F.translate("host", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "path").alias("key"), F.length("path").alias("n"), (F.length("host") - F.length(F.replace("host", F.lit("."))) + 1).alias("labels"), "verdict")
     # As many rows as there are path lengths, however many rules.
     lengths = sorted(r["n"] for r in rules.select("n").distinct().toLocalIterator()) or [0]
+    most = rules.agg(F.max("labels")).first()[0] or 1
     host, path = host_of(F.col("_url")), path_of(F.col("_url"))
     asked = pages.select("_id", host.alias("host"), path.alias("path"))
-    asked = asked.withColumn("_keys", candidate_keys(F.col("host"), F.col("path"), lengths))
+    asked = asked.withColumn("_keys", candidate_keys(F.col("host"), F.col("path"), lengths, most))
     universe = settle(asked.select(F.explode("_keys").alias("key")).distinct(), "universe", work)
     # Lists keep apart what both hold: block wins.
     sent = {}

@@ -137,6 +137,15 @@ def test_urls_of_odd_rows(spark):
     assert url_filter.judge_urls(pages.limit(0), rules).count() == 0
 
 
+def test_urls_with_very_many_labels(spark):
+    host = "a." * 8_000
+    urls = [f"http://{host}example.org/es/{'x/' * 8_000}", f"http://{host}net/", f"http://{host}com/de/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = spark.createDataFrame([*queries.URL_RULES, ("b.c.d.net", "/", "block")], url_filter.RULES)
+    found = sorted((r["page_id"], r["rule"], r["verdict"]) for r in url_filter.judge_urls(pages, rules).collect())
+    assert found == [(0, "example.org/es/", "block"), (1, None, "allow"), (2, "com/de/", "block")]
+
+
 def test_cascade_is_exact_with_far_too_few_bits(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(url_filter, "MAX_BITS", 1_024)
     universe = spark.range(3_000).select(F.concat(F.lit("k"), "id").alias("key"))
