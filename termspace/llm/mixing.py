@@ -4,20 +4,26 @@ Every document of a source is to be taken the same number of times on average,
 say 1.7. The whole part is sure; the rest is rounded so that the words of the
 source come out near its target: two documents with open fractions meet, and
 words of expectation are moved from one to the other, at random but fair, until
-one of them is settled at 0 or 1. The other goes on to the next. Groups of
-documents do this side by side, what each leaves open meets in the next round,
-and so on, as a tree, until one document per source is left. That one goes to the
-nearer end, so a source ends within half a document of its target.
+one of them is settled at 0 or 1. The other goes on to the next.
+
+Large documents come first. The documents of a source fall into bands of like
+size. Within a band groups of documents meet side by side, what each leaves open
+meets in the next round, and so on, as a tree, until one document is left. That
+one meets all smaller documents of the source at once: it is settled by its own
+fraction, and the words gained or owed are spread over them. So a source ends
+within half of one of its smallest documents, and every document is taken as
+often as it should be on average. Only where the smaller ones together cannot
+take up a document's words does it go to the nearer end.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termspace.llm.common import WORD, columns_as, fresh_name, row_key
+from termspace.llm.common import WORD, columns_as, fresh_name
 from termspace.operators.vocabulary import dense_index
 from termspace.session import scratch_path, settle
 
@@ -26,6 +32,8 @@ MOST = 3
 SEED = 42
 # Documents that meet in one group of a round.
 FAN = 64
+# Sizes of a band differ by less than this factor.
+BAND = 4
 _TINY = 1e-9
 
 _OPEN = "struct<order: bigint, hash: bigint, id: {id}, size: bigint, rows: bigint, mass: double>"
@@ -124,6 +132,55 @@ def _pivot(id_type: str, seed: int) -> Callable[[Column, Column], Column]:
     return meet
 
 
+def _meet_all(share: Column, weight: Column, rest: Column, chance: Column, rest_share: Column) -> tuple[Column, Column]:
+    """(bit, new share of the rest): a document of ``weight`` words and fraction ``share`` meets all smaller ones.
+
+    Those are ``rest`` words of the fraction ``rest_share`` each.
+    """
+    room_up = rest * rest_share >= weight * (1 - share) * (1 - _TINY)
+    room_down = rest * (1 - rest_share) >= weight * share * (1 - _TINY)
+    bit = F.when(room_up & room_down, chance < share).otherwise(share >= 0.5).cast("int")
+    moved = rest_share - (bit - share) * weight / rest
+    return bit, F.when(rest > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), moved))).otherwise(0.0)
+
+
+def _one_by_one(id_type: str, seed: int) -> Callable[[Column, Column], Column]:
+    """The next document of a band that is one group meets all documents after it."""
+    done_type = _DONE.format(id=id_type)
+
+    def step(acc: Column, x: Column) -> Column:
+        weight = x["size"] * x["rows"]
+        rest = acc["rest"] - weight
+        bit, share = _meet_all(acc["share"], weight, rest, _uniform(x["hash"], F.lit(seed)), acc["share"])
+        row = F.struct(x["id"].alias("id"), x["size"].alias("size"), x["rows"].alias("rows"), bit.alias("bit"))
+        return F.struct(share.alias("share"), rest.alias("rest"), F.concat(acc["done"], F.array(row)).cast(done_type).alias("done"))
+
+    return step
+
+
+def _bands(started: DataFrame, work: str) -> DataFrame:
+    """(_idx, _band, _turn, _count, _rest): the bands of every source, the one of the largest documents first.
+
+    The largest documents are one band as long as they are one group. ``_rest``
+    is the words of the bands after it. One row per source and power of ``BAND``.
+    """
+    each = started.filter("_open").groupBy("_idx", "_band").agg(F.count("*").alias("_n"), F.sum(F.col("_size") * F.col("_rows")).alias("_w"))
+    falling = Window.partitionBy("_idx").orderBy(F.col("_band").desc())
+    first = F.sum("_n").over(falling) <= FAN
+    rank = F.row_number().over(falling)
+    each = each.select("*", F.when(first, 0).otherwise(rank).alias("_rank"))
+    after = Window.partitionBy("_idx").orderBy("_rank").rangeBetween(1, Window.unboundedFollowing)
+    whole = Window.partitionBy("_idx", "_rank")
+    each = each.select(
+        "_idx",
+        "_band",
+        (F.dense_rank().over(Window.partitionBy("_idx").orderBy("_rank")) - 1).alias("_turn"),
+        F.sum("_n").over(whole).alias("_count"),
+        F.coalesce(F.sum("_w").over(after), F.lit(0)).cast("double").alias("_rest"),
+    )
+    return settle(each, "bands", work)
+
+
 def mix_counts(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -140,12 +197,15 @@ def mix_counts(
     and are taken alike. The size is the number of words of the whole text, null
     as empty. A null source is a source. Documents without words are never
     settled by chance and take no part. An empty table gives an empty result.
-    The same table and seed give the same copies, whatever the partitions.
+    The same table and seed give the same copies, whatever the partitions. Ties
+    in size are ordered by a hash of id and size. Other columns are not read.
 
     Text is read once, for its size; everything after is one narrow row per
-    document. Rows of one source are spread over groups of about ``FAN`` by
-    hash, so a source with most rows is as many groups; each round shuffles what
-    the one before left open, a FAN-th of it.
+    document. Rows of one band are spread over groups of about ``FAN`` by hash,
+    so a source with most rows is as many groups; each round shuffles what the
+    one before left open, a FAN-th of it. The bands follow each other, for all
+    sources at once: as many turns as a source has powers of ``BAND`` in its
+    sizes with more documents than a group.
     """
     work = work or scratch_path(docs.sparkSession, "mixing")
     rows = columns_as(docs, _id=doc_id, _text=text, _source=source)
@@ -155,51 +215,40 @@ def mix_counts(
     sizes = items.groupBy("_source").agg(F.sum(weight).alias("_words"), F.count("*").alias("_items"))
     targets = settle(source_targets(sizes, weights, most, work), "targets", work)
 
-    known = targets.withColumnRenamed("_source", "_same")
-    joined = items.join(known, items["_source"].eqNullSafe(known["_same"])).drop("_same")
     per_row = F.when(F.col("_words") > 0, F.col("_target") / F.col("_words")).otherwise(0.0)
     sure = F.floor(per_row + _TINY)
     part = F.greatest(per_row - sure, F.lit(0.0))
-    started = joined.withColumn("_sure", sure.cast("int")).withColumn("_mass", part * weight)
-    is_open = (F.col("_size") > 0) & (part > _TINY)
-    started = settle(started.withColumn("_open", is_open), "started", work)
-
+    known = targets.select("_idx", F.col("_source").alias("_same"), part.alias("_part"))
+    joined = items.join(known, items["_source"].eqNullSafe(known["_same"])).drop("_same", "_source")
+    is_open = (F.col("_size") > 0) & (F.col("_part") > _TINY)
+    band = F.floor(F.log(float(BAND), weight.cast("double")) + _TINY).cast("int")
+    started = settle(joined.select("*", is_open.alias("_open"), F.when(is_open, band).alias("_band")), "started", work)
+
+    bands = _bands(started, work)
+    turns = bands.groupBy("_turn").agg(F.max("_count").alias("most")).orderBy("_turn").collect()
     id_type = items.schema["_id"].dataType.simpleString()
-    done_type = _DONE.format(id=id_type)
-    meet = _pivot(id_type, seed)
     spread = F.xxhash64("_id", "_size", F.lit(seed))
-    left = started.filter("_open").select(
-        "_idx",
-        F.ceil(F.col("_items") / FAN).cast("long").alias("_groups"),
-        F.struct(
-            # Large documents meet first, so that what is left open in the end is a small one.
-            (-weight).alias("order"),
-            spread.alias("hash"),
-            F.col("_id").alias("id"),
-            F.col("_size").alias("size"),
-            F.col("_rows").alias("rows"),
-            F.col("_mass").alias("mass"),
-        ).alias("item"),
+    # Large documents meet first.
+    item = F.struct(
+        (-weight).alias("order"),
+        spread.alias("hash"),
+        F.col("_id").alias("id"),
+        F.col("_size").alias("size"),
+        F.col("_rows").alias("rows"),
+        (weight * F.col("_share")).alias("mass"),
     )
-    most_groups = targets.agg(F.max(F.ceil(F.col("_items") / FAN))).first()[0] or 0
-    settled, turn = [], 0
-    while most_groups:
-        group = F.pmod(F.xxhash64(F.col("item.hash"), F.lit(turn)), F.col("_groups"))
-        # Sorted by all fields in turn, so the order is the same in every run.
-        met = left.groupBy("_idx", "_groups", group.alias("_group")).agg(F.sort_array(F.collect_list("item")).alias("items"))
-        start = F.struct(F.lit(None).cast(_OPEN.format(id=id_type)).alias("open"), F.array().cast(done_type).alias("done"))
-        met = met.select("_idx", "_groups", F.aggregate("items", start, meet).alias("state"))
-        met = settle(met.select("_idx", "_groups", "state.open", "state.done"), f"round{turn}", work)
-        settled.append(met.select("_idx", F.inline("done")))
-        last = F.col("_groups") == 1
-        nearer = F.col("open.mass") * 2 >= F.col("open.size") * F.col("open.rows")
-        final = met.filter(last & F.col("open").isNotNull())
-        settled.append(final.select("_idx", "open.id", "open.size", "open.rows", nearer.cast("int").alias("bit")))
-        left = met.filter(~last & F.col("open").isNotNull()).select(
-            "_idx", F.ceil(F.col("_groups") / FAN).cast("long").alias("_groups"), F.col("open").alias("item")
-        )
-        most_groups = 0 if most_groups == 1 else -(-most_groups // FAN)
-        turn += 1
+    opened = started.filter("_open").drop("_open").join(bands, ["_idx", "_band"])
+    opened = opened.select("_idx", "_turn", "_count", "_rest", "_id", "_size", "_rows")
+    # Sorted within tasks, so that a turn reads its own row groups only.
+    opened = settle(opened.sortWithinPartitions("_turn"), "open", work)
+    shares = targets.select("_idx", part.alias("_share"))
+    settled = []
+    for row in turns:
+        given = opened.filter(F.col("_turn") == row["_turn"]).join(shares, "_idx")
+        groups = F.ceil(F.col("_count") / FAN).cast("long").alias("_groups")
+        left = given.select("_idx", "_rest", "_share", groups, item.alias("item"))
+        done, shares = _round_band(left, -(-row["most"] // FAN), id_type, seed, f"{work}/turn{row['_turn']}")
+        settled += done
     whole = started.filter("NOT _open").select("_idx", "_id", "_size", "_rows", F.lit(0).alias("_bit"))
     for part_done in settled:
         whole = whole.unionByName(part_done.toDF("_idx", "_id", "_size", "_rows", "_bit"))
@@ -210,20 +259,61 @@ def mix_counts(
     return counted.select("_id", "_source", "_size", "_rows", "_source_size", "_target", copies.alias("_copies"))
 
 
+def _round_band(left: DataFrame, most_groups: int, id_type: str, seed: int, work: str) -> tuple[list[DataFrame], DataFrame]:
+    """(settled rows, shares of the documents after): one band of every source, from (_idx, _rest, _share, _groups, item)."""
+    open_type, done_type = _OPEN.format(id=id_type), _DONE.format(id=id_type)
+    keys = ["_idx", "_rest", "_share", "_groups"]
+    nothing = F.array().cast(done_type).alias("done")
+    settled, shares = [], []
+
+    # A band of one group: its documents are settled one by one.
+    small = left.filter("_groups = 1").groupBy(*keys).agg(F.sort_array(F.collect_list("item")).alias("items"))
+    words = F.aggregate("items", F.lit(0).cast("long"), lambda n, x: n + x["size"] * x["rows"])
+    start = F.struct(F.col("_share").alias("share"), (F.col("_rest") + words).alias("rest"), nothing)
+    small = small.select("_idx", F.aggregate("items", start, _one_by_one(id_type, seed)).alias("state"))
+    small = settle(small.select("_idx", "state.share", "state.done"), "small", work)
+    settled.append(small.select("_idx", F.inline("done")))
+    shares.append(small.select("_idx", F.col("share").alias("_share")))
+
+    left, turn = left.filter("_groups > 1"), 0
+    while most_groups > 1 or turn:
+        group = F.pmod(F.xxhash64(F.col("item.hash"), F.lit(turn)), F.col("_groups"))
+        # Sorted by all fields in turn, so the order is the same in every run.
+        met = left.groupBy(*keys, group.alias("_group")).agg(F.sort_array(F.collect_list("item")).alias("items"))
+        start = F.struct(F.lit(None).cast(open_type).alias("open"), nothing)
+        met = met.select(*keys, F.aggregate("items", start, _pivot(id_type, seed)).alias("state"))
+        met = settle(met.select(*keys, "state.open", "state.done"), f"round{turn}", work)
+        settled.append(met.select("_idx", F.inline("done")))
+        last = F.col("_groups") == 1
+        weight = F.col("open.size") * F.col("open.rows")
+        chance = _uniform(F.col("open.hash"), F.lit(seed), F.lit(turn))
+        bit, share = _meet_all(F.col("open.mass") / weight, weight, F.col("_rest"), chance, F.col("_share"))
+        final = met.filter(last & F.col("open").isNotNull())
+        settled.append(final.select("_idx", "open.id", "open.size", "open.rows", bit.alias("bit")))
+        # Where nothing stays open the documents after keep their share.
+        shares.append(met.filter(last).select("_idx", F.when(F.col("open").isNull(), F.col("_share")).otherwise(share).alias("_share")))
+        left = met.filter(~last & F.col("open").isNotNull()).select(
+            "_idx", "_rest", "_share", F.ceil(F.col("_groups") / FAN).cast("long").alias("_groups"), F.col("open").alias("item")
+        )
+        if most_groups == 1:
+            break
+        most_groups, turn = -(-most_groups // FAN), turn + 1
+    after = shares[0]
+    for more in shares[1:]:
+        after = after.unionByName(more)
+    return settled, after
+
+
 def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", work: str | None = None, **settings) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as the mix takes it; cases as in ``mix_counts``."""
     work = work or scratch_path(docs.sparkSession, "mixing")
     counts = mix_counts(docs, doc_id, text, source, work=work, **settings).filter((F.col("_copies") > 0) & (F.col("_size") > 0))
-    key, copies, copy = (fresh_name(docs, n) for n in ("_mix_key", "_mix_copies", "_mix_copy"))
-    taken = counts.select(row_key("_id", "_source", "_size").alias(key), F.col("_copies").alias(copies))
+    names = [fresh_name(docs, n) for n in ("_mix_id", "_mix_source", "_mix_size", "_mix_copies", "_mix_copy")]
+    key, name, size, copies, copy = names
+    taken = counts.select(F.col("_id").alias(key), F.col("_source").alias(name), F.col("_size").alias(size), F.col("_copies").alias(copies))
     taken = settle(taken, "taken", work)
-    given = docs.withColumn(key, _given_key(doc_id, text, source))
-    # Alike at every size: both sides are shuffled by the key, whose rows are spread evenly.
-    repeated = given.join(taken.hint("merge"), key).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
-    return repeated.drop(key, copies, copy)
-
-
-def _given_key(doc_id: str, text: str, source: str) -> Column:
-    size = words_in(text)
-    columns = [F.col(doc_id), F.col(source), size]
-    return F.xxhash64(*columns, *[c.isNull() for c in columns])
+    given = docs.withColumn(copy, words_in(text)).filter(F.col(copy) > 0)
+    same = F.col(doc_id).eqNullSafe(F.col(key)) & F.col(source).eqNullSafe(F.col(name)) & (F.col(copy) == F.col(size))
+    # Alike at every size: both sides are shuffled by what tells rows apart, which is spread evenly.
+    repeated = given.join(taken.hint("merge"), same).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
+    return repeated.drop(*names)

@@ -356,6 +356,63 @@ def test_mixing_is_fair(spark):
     assert all(abs(mean - share) < 0.12 for mean in means.values()), (means, share)
 
 
+def mixed_by_hand(docs, share, chance):
+    """Bits of (id, size) documents of one group: each in turn meets all documents after it."""
+    bits, rest = {}, sum(size for _, size in docs)
+    for key, size in docs:
+        rest -= size
+        fair = rest * share >= size * (1 - share) * (1 - 1e-9) and rest * (1 - share) >= size * share * (1 - 1e-9)
+        bits[key] = int(chance[key] < share) if fair else int(share >= 0.5)
+        share = min(1.0, max(0.0, share - (bits[key] - share) * size / rest)) if rest else 0.0
+    return bits
+
+
+def sized(spark, rows):
+    """Documents of (doc_id, words, source)."""
+    given = spark.createDataFrame(rows, "doc_id long, n int, source string")
+    return given.select("doc_id", F.repeat(F.lit("w "), F.col("n")).alias("text"), "source")
+
+
+def test_mixing_is_the_plain_one_by_one(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, int(n), "st"[i % 2]) for i, n in enumerate(rng.integers(1, 400, 80))]
+    counts = mixing.mix_counts(sized(spark, rows), weights=(2, 3)).select(
+        "*", mixing._uniform(F.xxhash64("_id", "_size", F.lit(mixing.SEED)), F.lit(mixing.SEED)).alias("chance"),
+        F.xxhash64("_id", "_size", F.lit(mixing.SEED)).alias("hash"),
+    ).collect()
+    for source in "st":
+        own = sorted((r for r in counts if r["_source"] == source), key=lambda r: (-r["_size"], r["hash"]))
+        share = own[0]["_target"] / own[0]["_source_size"]
+        by_hand = mixed_by_hand([(r["_id"], r["_size"]) for r in own], share % 1, {r["_id"]: r["chance"] for r in own})
+        assert {r["_id"]: r["_copies"] - int(share) for r in own} == by_hand
+        taken = sum(r["_copies"] * r["_size"] for r in own)
+        assert abs(taken - own[0]["_target"]) <= own[-1]["_size"]
+
+
+def test_mixing_ends_near_its_targets(spark):
+    # One document larger than most others together; and a source of several rounds of meetings in a band.
+    rows = [(0, 20_000, "big")] + [(i, 50, "big") for i in range(1, 801)] + [(1_000 + i, 50, "other") for i in range(1_600)]
+    rows += [(10_000 + i, 40 + i % 60, "many") for i in range(6_000)]
+    for seed in (1, 2):
+        counts = mixing.mix_counts(sized(spark, rows), seed=seed)
+        found = counts.groupBy("_source").agg(F.sum(F.col("_copies") * F.col("_size")).alias("taken"), F.max("_target").alias("target"))
+        off = {r["_source"]: abs(r["taken"] - r["target"]) for r in found.collect()}
+        assert off["big"] <= 25 and off["other"] <= 25 and off["many"] <= 50, off
+
+
+def test_mixing_takes_every_document_as_often_as_it_should(spark):
+    # Many sources alike stand for many seeds. Smaller documents can always take up what a larger one gains or owes.
+    sizes, sources = [90, 80, 70, 60] + [30] * 10 + [5] * 60 + [1] * 100, 400
+    rows = [(s * 1_000 + i, n, f"s{s:04}") for s in range(sources) for i, n in enumerate(sizes)]
+    counts = mixing.mix_counts(sized(spark, rows), weights=(1, 2)).withColumn("share", F.col("_target") / F.col("_source_size"))
+    means = counts.groupBy((F.col("_id") % 1_000).alias("place"), F.round("share", 6).alias("share")).agg(F.avg("_copies").alias("mean")).collect()
+    for r in means:
+        part = r["share"] % 1
+        error = math.sqrt(part * (1 - part) / (sources / 2))
+        # 348 means are looked at, so some lie beyond three standard errors by chance.
+        assert abs(r["mean"] - r["share"]) <= 4 * error, (sizes[r["place"]], r)
+
+
 def test_mixing_of_odd_rows(odd, none):
     counts = mixing.mix_counts(odd).collect()
     assert sum(r["_rows"] for r in counts) == len(ODD) and all(0 <= r["_copies"] <= 3 for r in counts)
