@@ -11,9 +11,9 @@ size. Within a band groups of documents meet side by side, what each leaves open
 meets in the next round, and so on, as a tree, until one document is left. That
 one meets all smaller documents of the source at once: it is settled by its own
 fraction, and the words gained or owed are spread over them. So a source ends
-within half of one of its smallest documents, and every document is taken as
-often as it should be on average. Only where the smaller ones together cannot
-take up a document's words does it go to the nearer end.
+within about one of its smallest documents, and every document is taken as often
+as it should be on average. Only where the smaller ones together cannot take up
+a document's words does it go to the nearer end: near comes before fair.
 """
 
 from __future__ import annotations
