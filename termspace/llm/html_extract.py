@@ -15,7 +15,7 @@ import html
 import math
 import re
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -107,6 +107,9 @@ class _Page:
         self.marks: set[str] = set()
         # Open elements: (name, furniture, link).
         self.open: list[tuple[str, bool, bool]] = []
+        # Depths of the open elements of a name, and of those that hold blocks.
+        self.depths: defaultdict[str, list[int]] = defaultdict(list)
+        self.scopes: list[int] = []
         # Open furniture elements, links, and main elements, by number.
         self.furniture = self.links = 0
         self.inside = Counter()
@@ -151,6 +154,9 @@ class _Page:
             self.marks.add(name)
         self._tag(_FURNITURE_TAG if furniture else name)
         if name not in _VOID and not rest.endswith("/"):
+            self.depths[name].append(len(self.open))
+            if name in _SCOPE:
+                self.scopes.append(len(self.open))
             self.open.append((name, furniture, name == "a"))
             self.furniture += furniture
             self.links += name == "a"
@@ -192,24 +198,24 @@ class _Page:
 
     def _pop(self) -> None:
         name, furniture, link = self.open.pop()
+        self.depths[name].pop()
+        if name in _SCOPE:
+            self.scopes.pop()
         self.furniture -= furniture
         self.links -= link
         self.inside[name] -= name in _MAIN
 
     def _close_within(self, name: str) -> None:
         """Close an open element whose end tag may be left out, if nothing that holds blocks is open inside it."""
-        for depth in range(len(self.open) - 1, -1, -1):
-            found = self.open[depth][0]
-            if found == name:
-                while len(self.open) > depth:
-                    self._pop()
-                return
-            if found in _SCOPE:
-                return
+        depths = self.depths[name]
+        if depths and (not self.scopes or depths[-1] >= self.scopes[-1]):
+            depth = depths[-1]
+            while len(self.open) > depth:
+                self._pop()
 
     def _close(self, name: str) -> None:
         furniture = False
-        if any(name == x[0] for x in self.open):
+        if self.depths[name]:
             last = None
             while last != name:
                 last, furniture, _ = self.open[-1]

@@ -5,6 +5,7 @@ import html
 import math
 import os
 import re
+import time
 import zlib
 
 import numpy as np
@@ -305,6 +306,47 @@ def test_extract_of_odd_rows(spark):
     assert html_extract.extract(pages.limit(0), html_extract.fit_weights(pages.limit(0)), ["page_id"]).count() == 0
 
 
+def test_deep_pages_take_time_in_proportion():
+    hostile = [
+        "<div>" * 60_000 + "word " * 9 + "</b>" * 60_000,
+        "<ul><li>" + "<span>" * 60_000 + "<li>x</li>" * 60_000,
+        "<p>" * 60_000 + "<table>" * 60_000 + "</p>" * 60_000 + "</td>" * 60_000,
+    ]
+    for page in hostile:
+        began = time.process_time()
+        html_extract.main_text(page, html_extract._DEFAULT)
+        assert time.process_time() - began < 20 * len(page) / 1_000_000, page[:40]
+
+
+def test_end_tags_close_what_is_open():
+    rng = np.random.default_rng(11)
+    names = ["p", "li", "ul", "td", "table", "span", "div", "b", "option"]
+
+    def close_within(open_, name):
+        for depth in range(len(open_) - 1, -1, -1):
+            if open_[depth] == name:
+                del open_[depth:]
+                return
+            if open_[depth] in html_extract._SCOPE:
+                return
+
+    for _ in range(300):
+        tags = [(bool(rng.random() < 0.4), names[rng.integers(len(names))]) for _ in range(40)]
+        page = html_extract._Page("".join(f"</{n}>" if end else f"<{n}>" for end, n in tags))
+        open_ = []
+        for end, name in tags:
+            if end and name in open_:
+                while open_.pop() != name:
+                    pass
+            elif not end:
+                if name in html_extract._CLOSES_P:
+                    close_within(open_, "p")
+                if name in html_extract._SAME_CLOSES:
+                    close_within(open_, name)
+                open_.append(name)
+        assert [name for name, _, _ in page.open if name not in html_extract._FURNITURE] == [n for n in open_ if n not in html_extract._FURNITURE]
+
+
 # Mixing.
 
 
