@@ -297,6 +297,85 @@ def test_unmarked_pages_keep_their_body(spark):
         assert marked and marked in html_extract.main_text(bare, weights)
 
 
+@pytest.fixture(scope="module")
+def learned(spark):
+    return html_extract.fit_weights(spark.read.parquet(f"{SF}/pages.parquet"))
+
+
+@pytest.mark.parametrize(
+    "given",
+    [
+        "class='post category-advertising tag-social'",
+        "class='social-sciences'",
+        "class='search-result-page'",
+        "class='widget-area-wrapper'",
+        "class='notice-of-decision'",
+        "class='promo-free'",
+        "class='menu-recipes post'",
+        "class='post reply-123'",
+        "class='header-image-post'",
+        "class='signup-guide'",
+        "class='elementor-widget-container'",
+        "class='wp-block-group elementor-widget x'",
+        "class='modal-logic-article'",
+        "class='comments-open'",
+        "style='display:none-ish'",
+    ],
+)
+@pytest.mark.parametrize("each", [False, True])
+def test_names_of_wrappers_do_not_hide_the_body(learned, given, each):
+    """One wrapper of the body, or one of every paragraph."""
+    paragraphs = [f"<p>{BODY}</p>"] * 4
+    body = "".join(f"<div {given}>{p}</div>" for p in paragraphs) if each else f"<div {given}>{''.join(paragraphs)}</div>"
+    page = f"<body><nav>Home</nav><div class=ad>Buy more</div>{body}<div class=sidebar>Read this too</div><footer>f</footer></body>"
+    assert html_extract.main_text(page, learned) == " ".join([BODY] * 4)
+
+
+@pytest.mark.parametrize("name", ["ad", "sidebar", "menu", "comments", "cookie-notice", "newsletter signup", "related"])
+@pytest.mark.parametrize("frame", ["<article>{}</article>", "<main>{}</main>", "<div>{}</div>"])
+def test_named_furniture_stays_out(learned, name, frame):
+    other = " ".join(f"other{i}" for i in range(200))
+    page = frame.format(f"<p>{BODY}</p><div class='{name}'><p>{other}</p></div><p>{BODY}</p>")
+    assert html_extract.main_text(page, learned) == f"{BODY} {BODY}"
+
+
+def test_weights_of_names_are_learned(spark):
+    """A name around main texts, one of furniture that no list has, and a listed one that the pages clear."""
+    page = "<div class='frame widget'><div class=zzq>{0}</div><article><p>{0}</p><div class=ad>{0}</div></article></div>".format(BODY)
+    weights = html_extract.fit_weights(spark.createDataFrame([(page,)] * 30, "html string"))
+    assert weights["#name zzq"] < -1 and "#name frame" not in weights and "#name ad" not in weights
+    assert weights["#name widget"] > -1 > html_extract._prior("widget")
+    words = 30 * 60
+    assert weights["#name zzq"] == pytest.approx(math.log(200 / (words + 200)))
+    assert html_extract.main_text(f"<div><p>{BODY}</p><div class=zzq>x y z</div></div>", weights) == BODY
+    assert html_extract.main_text(f"<div><p>{BODY}</p><div class=zzq>x y z</div></div>", dict(html_extract._DEFAULT)) == BODY + " x y z"
+
+
+def test_best_run_is_the_best_of_all():
+    rng = np.random.default_rng(4)
+    weights = dict(html_extract._DEFAULT) | {"p": -0.3, "div": -0.9}
+    for _ in range(200):
+        pieces = []
+        for _ in range(rng.integers(0, 30)):
+            kind = str(rng.choice(["p", "div", "other", html_extract.WORD, html_extract.LINK_WORD, html_extract.FURNITURE]))
+            text = kind.startswith("#")
+            piece = html_extract._Piece(kind, "x" if text else "", int(rng.integers(0, 4)))
+            piece.main = bool(rng.random() < 0.3)
+            pieces.append(piece)
+
+        def value(piece):
+            if piece.kind == html_extract.FURNITURE:
+                return 0.0
+            if piece.text:
+                return weights[html_extract.WORD if piece.main else piece.kind] * piece.n
+            return (-html_extract._LEAST if piece.main else weights.get(piece.kind, weights[html_extract._UNSEEN_TAG])) * piece.n
+
+        scores = [value(p) for p in pieces]
+        sums = [sum(scores[i:j]) for i in range(len(pieces)) for j in range(i + 1, len(pieces) + 1)]
+        score, begin, end = html_extract.best_run(pieces, weights)
+        assert score == pytest.approx(max([0.0, *sums])) and score == pytest.approx(sum(scores[begin:end]))
+
+
 def test_extract_of_odd_rows(spark):
     rows = [(1, None), (1, None), (2, ""), (None, "<p>x</p>")]
     pages = spark.createDataFrame(rows, "page_id long, html string").withColumn("text", F.lit("clash"))
