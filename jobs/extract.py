@@ -44,7 +44,7 @@ def main(args: argparse.Namespace) -> None:
     if kind == "collection":
         raw = articles.read_article_collection(spark, args.input, args.spread)
     else:
-        raw = articles.read_article_files(spark, args.input, packed)
+        raw = articles.read_article_files(spark, args.input, packed, args.spread)
     rows = articles.extract_articles(raw, style)
     if args.json:
         work = scratch_path(spark, "extract")
@@ -66,5 +66,5 @@ if __name__ == "__main__":
     parser.add_argument("--compressed", action="store_true", help="PLOS: the input files are tar.gz archives")
     parser.add_argument("--checkpoint", help="folder that remembers the files converted so far")
     parser.add_argument("--json", action="store_true", help="write newline JSON instead of parquet")
-    parser.add_argument("--spread", type=int, help="shuffle the articles of compressed collections to so many tasks")
+    parser.add_argument("--spread", type=int, help="shuffle the articles of compressed collections and archives to so many tasks")
     main(parser.parse_args())

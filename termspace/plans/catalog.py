@@ -12,6 +12,7 @@ are derived from them, whole, as follows:
 from __future__ import annotations
 
 import gzip
+import tarfile
 import uuid
 from collections.abc import Iterator
 
@@ -206,8 +207,8 @@ def incremental_conversion(spark, sf_dir) -> DataFrame:
 FILE_ARTICLES, HIT = 64, 40
 
 
-def damaged_files(xml: DataFrame, folder: str) -> None:
-    """Gzip collections of consecutive documents, a member each, below ``folder``.
+def damaged_files(xml: DataFrame, folder: str, packed: bool = False) -> None:
+    """Gzip collections of consecutive documents, a gzip member each, below ``folder``; ``packed``: tar archives.
 
     Of every four files one is whole, one ends in the middle of a member, one
     has a member whose data do not fit their checksum, one has bytes that begin
@@ -216,7 +217,8 @@ def damaged_files(xml: DataFrame, folder: str) -> None:
 
     def write(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((i, x) for b in batches for i, x in zip(b["doc_id"].to_pylist(), b["xml"].to_pylist()))
-        members = [gzip.compress(x.encode(), mtime=0) for _, x in rows]
+        texts = [packed_member(f"{i // 10}/{i}.xml", x.encode()) if packed else x.encode() for i, x in rows]
+        members = [gzip.compress(x, mtime=0) for x in texts]
         harm = key[0].as_py() % 4
         if harm and len(members) > HIT:
             member = members[HIT]
@@ -226,10 +228,12 @@ def damaged_files(xml: DataFrame, folder: str) -> None:
                 members[HIT] = member[:-8] + bytes(b ^ 255 for b in member[-8:-4]) + member[-4:]
             else:
                 members[HIT] = b"no gzip" + member
+        if packed and not (harm == 1 and len(rows) > HIT):
+            members.append(gzip.compress(bytes(2 * tarfile.BLOCKSIZE), mtime=0))
         files, inner = filesystem_of(folder)
         files.create_dir(inner)
         # Written under another name first: a task that is repeated leaves no half file.
-        name = f"{inner}/{key[0].as_py():09d}.xml.gz"
+        name = f"{inner}/{key[0].as_py():09d}.{'tar' if packed else 'xml'}.gz"
         draft = f"{name}.{uuid.uuid4().hex}.tmp"
         with files.open_output_stream(draft, compression=None) as out:
             out.write(b"".join(members))
@@ -240,6 +244,26 @@ def damaged_files(xml: DataFrame, folder: str) -> None:
     filed.select("file", "doc_id", "xml").groupBy("file").applyInArrow(write, "file string").count()
 
 
+def packed_member(name: str, data: bytes) -> bytes:
+    """A file as it stands in a tar archive."""
+    info = tarfile.TarInfo(name)
+    info.size = len(data)
+    return info.tobuf() + data + bytes(-len(data) % tarfile.BLOCKSIZE)
+
+
+def archive_members(spark, sf_dir) -> DataFrame:
+    """Articles packed in tar.gz archives, some cut or damaged: every member before a break, and one row for each break."""
+    folder = scratch_path(spark, "archives")
+    damaged_files(article_xml(spark, sf_dir), folder, packed=True)
+    good, bad = articles.split_quarantine(articles.extract_articles(articles.read_article_files(spark, folder, "gz")))
+    file = F.regexp_extract("source_file", r"([0-9]+)\.tar\.gz(!|$)", 1).cast("long").alias("file")
+    member = F.regexp_extract("source_file", r"!(.*)$", 1).alias("member")
+    why = F.when(F.startswith("error", F.lit("broken at byte ")), "broken").otherwise(F.col("error"))
+    nothing = F.lit(None).cast("string")
+    found = good.select(file, member, "doi", "fulltext", F.lit("article").alias("status"))
+    return found.unionByName(bad.select(file, member, nothing.alias("doi"), nothing.alias("fulltext"), why.alias("status")))
+
+
 def damaged_collection(spark, sf_dir) -> DataFrame:
     """Gzip collections, some cut or damaged, read by the batch job and by the incremental one.
 
@@ -604,6 +628,7 @@ QUERIES = {
         quarantine,
         incremental_conversion,
         damaged_collection,
+        archive_members,
         page_article_block,
         page_metadata,
         page_paragraphs,

@@ -181,6 +181,21 @@ SQL = {
         )
         SELECT job, found.* FROM found, (VALUES ('batch'), ('stream')) jobs(job)
     """,
+    "archive_members": _with(
+        """
+        SELECT file, doc_id // 10 || '/' || doc_id || '.xml' AS member, doi, fulltext, 'article' AS status
+        FROM f WHERE place < whole
+        UNION ALL
+        SELECT DISTINCT file, '', NULL, NULL, 'broken' FROM f WHERE n > 40 AND file % 4 <> 0
+        """,
+        articles=ARTICLES,
+        d="""
+          SELECT *, doc_id // 64 AS file, row_number() OVER (PARTITION BY doc_id // 64 ORDER BY doc_id) - 1 AS place,
+                 count(*) OVER (PARTITION BY doc_id // 64) AS n
+          FROM articles
+        """,
+        f="SELECT *, CASE WHEN n <= 40 OR file % 4 = 0 THEN n WHEN file % 4 = 2 THEN 41 ELSE 40 END AS whole FROM d",
+    ),
     "incremental_conversion": _with(
         "SELECT doi, CASE WHEN lang = 'es' THEN '' ELSE fulltext END AS fulltext FROM articles", articles=ARTICLES
     ),

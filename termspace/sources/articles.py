@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import io
 import re
 import tarfile
-import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -17,15 +15,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
 from termspace.schemas import DOI_PATH, FILES, JATS_STYLE, TEXT_COLUMNS, article_schema, metadata_columns
-from termspace.sources.streams import Broken, gunzipped, parted, pieces_of, tasks_can_open
+from termspace.sources.streams import Broken, Stream, gunzipped, parted, pieces_of, tasks_can_open
 
 ARTICLE_END = "</article>"
 # Names that do not end in .gz, as a glob.
 NOT_GZIP = "{*[!z],*[!g]z,*[!.]gz,z,gz}"
 # Article text that is handed on at once.
 BATCH_BYTES = 4 * 2**20
-# What a cut or damaged archive raises.
-_BROKEN = (tarfile.TarError, EOFError, OSError, zlib.error)
 
 
 def read_article_collection(spark: SparkSession, path: str | list[str], spread: int | None = None) -> DataFrame:
@@ -91,21 +87,33 @@ def _article_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["source_file", "xml", "broken"])
 
 
-def read_article_files(spark: SparkSession, path: str | list[str], compressed: str | None = None) -> DataFrame:
-    """(source_file, xml): one article per file, or per member of a ``tar.gz`` archive.
+def read_article_files(
+    spark: SparkSession, path: str | list[str], compressed: str | None = None, spread: int | None = None
+) -> DataFrame:
+    """(source_file, xml, broken): one article per file, or per member of a ``tar.gz`` archive.
 
     Whatever stands before the line that begins with the article tag is dropped.
-    A file without such a line has an empty ``xml``.
+    A file without such a line has an empty ``xml``. An archive of any size is
+    read piece by piece by one task that holds a member at a time; ``spread``
+    shuffles the articles to that many partitions before they are parsed. An
+    archive that is cut or damaged gives every member before the break, then one
+    row that says in ``broken`` where and why it breaks. A read that fails fails
+    the task, which is tried again.
     """
-    return file_articles(spark.read.format("binaryFile").load(path), compressed)
+    first = path if isinstance(path, str) else path[0]
+    return file_articles(spark.read.format("binaryFile").load(path), compressed, tasks_can_open(spark, first), spread)
 
 
-def file_articles(files: DataFrame, compressed: str | None = None) -> DataFrame:
+def file_articles(files: DataFrame, compressed: str | None = None, by_path: bool = False, spread: int | None = None) -> DataFrame:
+    """The articles of listed files; ``by_path``: tasks open archives themselves."""
     if compressed not in (None, "gz"):
         raise ValueError(f"compressed: gz or None, not {compressed!r}")
     texts = _archive_texts if compressed else _file_texts
-    rows = files.select("path", "content").mapInArrow(texts, "source_file string, value string")
-    return rows.select("source_file", article_block("value").alias("xml"))
+    # Without the content Spark only lists the files.
+    content = F.lit(None).cast("binary") if compressed and by_path else F.col("content")
+    rows = files.select("path", content.alias("content")).mapInArrow(texts, "source_file string, value string, broken string")
+    rows = rows.select("source_file", article_block("value").alias("xml"), "broken")
+    return rows.repartition(spread) if spread else rows
 
 
 def article_block(text: Column | str) -> Column:
@@ -116,22 +124,54 @@ def article_block(text: Column | str) -> Column:
 def _file_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [_decoded(content.as_buffer().to_pybytes()) for content in batch["content"]]
-        yield pa.RecordBatch.from_pydict({"source_file": batch["path"], "value": pa.array(texts, pa.string())})
+        yield _text_batch([(path, text, None) for path, text in zip(batch["path"].to_pylist(), texts)])
 
 
 def _archive_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
+        for path, content in zip(batch["path"].to_pylist(), batch["content"]):
+            pieces = iter([content.as_buffer().to_pybytes()]) if content.is_valid else pieces_of(path)
+            rows, size = [], 0
             try:
-                with tarfile.open(fileobj=io.BytesIO(content.as_buffer()), mode="r:gz") as archive:
-                    for member in archive:
-                        if member.isfile():
-                            text = _decoded(archive.extractfile(member).read())
-                            row = {"source_file": [f"{path}!{member.name}"], "value": [text]}
-                            yield pa.RecordBatch.from_pydict(row)
-            except _BROKEN:
-                # The members before the break are kept; the archive itself has no article.
-                yield pa.RecordBatch.from_pydict({"source_file": [str(path)], "value": [""]})
+                for name, data in archive_members(gunzipped(pieces)):
+                    rows.append((f"{path}!{name}", _decoded(data), None))
+                    size += len(data)
+                    if size > BATCH_BYTES:
+                        yield _text_batch(rows)
+                        rows, size = [], 0
+            except (Broken, tarfile.TarError) as problem:
+                rows.append((path, None, str(problem)))
+            if rows:
+                yield _text_batch(rows)
+
+
+def _text_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(column, pa.string()) for column in zip(*rows)]
+    return pa.RecordBatch.from_arrays(columns, ["source_file", "value", "broken"])
+
+
+class _Member(tarfile.TarInfo):
+    """A header that must be one: tar readers take a damaged header for the end of the archive."""
+
+    @classmethod
+    def fromtarfile(cls, archive: tarfile.TarFile) -> tarfile.TarInfo:
+        try:
+            return super().fromtarfile(archive)
+        except (tarfile.InvalidHeaderError, tarfile.TruncatedHeaderError) as problem:
+            raise tarfile.ReadError(str(problem)) from None
+
+
+def archive_members(pieces: Iterator[bytes]) -> Iterator[tuple[str, bytes]]:
+    """(name, data) of the files of a tar stream, in order. Raises at a break, after all members before it."""
+    with tarfile.open(fileobj=Stream(pieces), mode="r|", tarinfo=_Member) as archive:
+        while (member := archive.next()) is not None:
+            # The archive would hold the headers of all members.
+            archive.members = []
+            if member.isfile():
+                yield member.name, archive.extractfile(member).read()
+    # What follows the last member must be whole too.
+    for _ in pieces:
+        pass
 
 
 def _decoded(data: bytes) -> str:

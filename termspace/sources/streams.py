@@ -101,6 +101,23 @@ def _until_error(member, data: bytes) -> tuple[bytes, int]:
     return b"".join(out), used
 
 
+class Stream:
+    """Pieces as a file that can only be read on. A failure comes once all bytes before it have been read."""
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self._pieces, self._left = pieces, memoryview(b"")
+
+    def read(self, size: int) -> bytes:
+        """At most ``size`` bytes, fewer where a piece ends; none at the end."""
+        while not self._left:
+            piece = next(self._pieces, None)
+            if piece is None:
+                return b""
+            self._left = memoryview(piece)
+        out, self._left = self._left[:size], self._left[size:]
+        return bytes(out)
+
+
 def parted(pieces: Iterator[bytes], start: bytes, end: bytes) -> Iterator[tuple[bytes, bool]]:
     """(text, closed) from each match of the pattern ``start`` to the mark ``end``; ``closed`` is False for a last one without it.
 

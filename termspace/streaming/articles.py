@@ -27,15 +27,16 @@ def convert_new_files(
     The checkpoint remembers the files, and the parquet sink commits a batch as
     a whole, so a failed run leaves neither gaps nor halves. Bad articles go to
     the partition ``status=quarantine`` of the same table. ``compressed="gz"``:
-    the files are tar.gz archives, of which a broken one becomes a quarantine
-    row. Of a cut or damaged gzip collection what comes before the break is
-    converted, and the break becomes a quarantine row; a read that fails fails
-    the run, and the next one takes the file again.
+    the files are tar.gz archives. Of a cut or damaged archive or gzip
+    collection what comes before the break is converted, and the break becomes a
+    quarantine row; a read that fails fails the run, and the next one takes the
+    file again.
     """
     if kind == "collection":
         raw = collection_articles(spark, spark.readStream, source, tasks_can_open(spark, source), spread)
     elif kind == "files":
-        raw = file_articles(spark.readStream.format("binaryFile").schema(FILES).load(source), compressed)
+        files = spark.readStream.format("binaryFile").schema(FILES).load(source)
+        raw = file_articles(files, compressed, tasks_can_open(spark, source), spread)
     else:
         raise ValueError(f"kind: collection or files, not {kind!r}")
     status = F.when(F.col("error").isNull(), "article").otherwise("quarantine")

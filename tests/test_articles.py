@@ -1,13 +1,16 @@
 import gzip
 import io
+import itertools
 import json
 import tarfile
+import tracemalloc
 
 import pytest
 
 from termspace.plans import training
 from termspace.schemas import JATS_STYLE
 from termspace.sources import articles, records
+from termspace.streaming import articles as article_stream
 
 FRONT = """<front><journal-meta><journal-title>Jour</journal-title><issn>12</issn></journal-meta>
 <article-meta><article-id pub-id-type="doi">{doi}</article-id><pub-date pub-type="collection">2016</pub-date>
@@ -100,6 +103,50 @@ def test_archive_members(spark, tmp_path):
     assert good["10.1/b"]["source_file"].endswith("x.tar.gz!d/2.xml")
 
 
+def packed(*members):
+    data = io.BytesIO()
+    with tarfile.open(fileobj=data, mode="w") as archive:
+        for name, text in members:
+            member = tarfile.TarInfo(name)
+            member.size = len(text)
+            archive.addfile(member, io.BytesIO(text))
+    return data.getvalue()
+
+
+def test_a_broken_archive_gives_what_comes_before(spark, tmp_path):
+    """Cut in a member, cut between blocks, damaged, no archive, an empty one; as a batch and as a stream."""
+    whole = packed(("1.xml", ONE.encode()), ("2.xml", TWO.encode()))
+    first = 512 + -(-len(ONE.encode()) // 512) * 512
+    (tmp_path / "in").mkdir()
+    for name, data in {
+        "whole": gzip.compress(whole),
+        "in-member": gzip.compress(whole[: first + 512 + 20]),
+        "cut": gzip.compress(whole[:first]) + gzip.compress(whole[first:], 0)[:700],
+        "header": gzip.compress(whole[:first] + b"x" * 1024),
+        "text": b"no archive",
+        "none": gzip.compress(packed()),
+    }.items():
+        (tmp_path / "in" / f"{name}.tar.gz").write_bytes(data)
+    batch = articles.split_quarantine(articles.extract_articles(articles.read_article_files(spark, str(tmp_path / "in"), "gz", spread=3)))
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    article_stream.convert_new_files(spark, str(tmp_path / "in"), out, checkpoint, "files", compressed="gz").awaitTermination()
+    for good, bad in (batch, article_stream.read_converted(spark, out)):
+        found = sorted((r["source_file"].split("/")[-1], r["doi"]) for r in good.collect())
+        kept = [("cut.tar.gz!1.xml", "10.1/a"), ("header.tar.gz!1.xml", "10.1/a"), ("in-member.tar.gz!1.xml", "10.1/a")]
+        assert found == [*kept, ("whole.tar.gz!1.xml", "10.1/a"), ("whole.tar.gz!2.xml", "10.1/b")]
+        assert sorted(r["source_file"].split("/")[-1] for r in bad.collect()) == [f"{n}.tar.gz" for n in ("cut", "header", "in-member", "text")]
+
+
+def test_a_large_archive_is_held_a_member_at_a_time():
+    """A tar stream of 4 GiB; its largest member has 1 MiB."""
+    member = packed(("x.xml", b"<article/>" + b" " * 2**20))[: 512 + 2**20 + 512]
+    tracemalloc.start()
+    count = sum(1 for _ in articles.archive_members(itertools.chain(itertools.repeat(member, 4096), [bytes(1024)])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert count == 4096 and peak < 16 * 2**20
+
+
 def test_quarantine_split(spark, tmp_path):
     (tmp_path / "a.xml").write_text(collection(ONE, BAD))
     rows = articles.extract_articles(articles.read_article_collection(spark, str(tmp_path)))
