@@ -255,13 +255,11 @@ def archive_members(spark, sf_dir) -> DataFrame:
     """Articles packed in tar.gz archives, some cut or damaged: every member before a break, and one row for each break."""
     folder = scratch_path(spark, "archives")
     damaged_files(article_xml(spark, sf_dir), folder, packed=True)
-    good, bad = articles.split_quarantine(articles.extract_articles(articles.read_article_files(spark, folder, "gz")))
+    rows = articles.extract_articles(articles.read_article_files(spark, folder, "gz"))
     file = F.regexp_extract("source_file", r"([0-9]+)\.tar\.gz(!|$)", 1).cast("long").alias("file")
     member = F.regexp_extract("source_file", r"!(.*)$", 1).alias("member")
-    why = F.when(F.startswith("error", F.lit("broken at byte ")), "broken").otherwise(F.col("error"))
-    nothing = F.lit(None).cast("string")
-    found = good.select(file, member, "doi", "fulltext", F.lit("article").alias("status"))
-    return found.unionByName(bad.select(file, member, nothing.alias("doi"), nothing.alias("fulltext"), why.alias("status")))
+    why = F.when(F.startswith("error", F.lit("broken at byte ")), "broken").otherwise(F.coalesce("error", F.lit("article")))
+    return rows.select(file, member, "doi", "fulltext", why.alias("status"))
 
 
 def damaged_collection(spark, sf_dir) -> DataFrame:

@@ -111,8 +111,7 @@ def file_articles(files: DataFrame, compressed: str | None = None, by_path: bool
     texts = _archive_texts if compressed else _file_texts
     # Without the content Spark only lists the files.
     content = F.lit(None).cast("binary") if compressed and by_path else F.col("content")
-    rows = files.select("path", content.alias("content")).mapInArrow(texts, "source_file string, value string, broken string")
-    rows = rows.select("source_file", article_block("value").alias("xml"), "broken")
+    rows = files.select("path", content.alias("content")).mapInArrow(texts, "source_file string, xml string, broken string")
     return rows.repartition(spread) if spread else rows
 
 
@@ -123,8 +122,8 @@ def article_block(text: Column | str) -> Column:
 
 def _file_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [_decoded(content.as_buffer().to_pybytes()) for content in batch["content"]]
-        yield _text_batch([(path, text, None) for path, text in zip(batch["path"].to_pylist(), texts)])
+        texts = [_block(_decoded(content.as_buffer().to_pybytes())) for content in batch["content"]]
+        yield _article_batch([(path, text, None) for path, text in zip(batch["path"].to_pylist(), texts)])
 
 
 def _archive_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,20 +133,21 @@ def _archive_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             rows, size = [], 0
             try:
                 for name, data in archive_members(gunzipped(pieces)):
-                    rows.append((f"{path}!{name}", _decoded(data), None))
+                    rows.append((f"{path}!{name}", _block(_decoded(data)), None))
                     size += len(data)
                     if size > BATCH_BYTES:
-                        yield _text_batch(rows)
+                        yield _article_batch(rows)
                         rows, size = [], 0
             except (Broken, tarfile.TarError) as problem:
                 rows.append((path, None, str(problem)))
             if rows:
-                yield _text_batch(rows)
+                yield _article_batch(rows)
 
 
-def _text_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = [pa.array(column, pa.string()) for column in zip(*rows)]
-    return pa.RecordBatch.from_arrays(columns, ["source_file", "value", "broken"])
+def _block(text: str) -> str:
+    """As ``article_block``, where the text is read."""
+    start = re.search(r"^<article", text, re.MULTILINE)
+    return text[start.start() :] if start else ""
 
 
 class _Member(tarfile.TarInfo):
