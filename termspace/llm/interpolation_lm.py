@@ -1,15 +1,16 @@
 """Scores of texts by a deleted-interpolation language model.
 
-The chance of a token after the one before it mixes three estimates: the share
-of the pair among all pairs with that context, the share of the token among all
-tokens, and equal chances. The mixture weights depend on how frequent the
-context is; they are learned by expectation maximisation on counts that were
-kept back, and then serve with the counts of all training texts.
-
-Words of less than ``SHARE`` of all tokens form one class for the pairs; within
-the class a word has the chance of its own count. So the classes are a table of
-at most 1 / SHARE entries whatever the corpus, while every word and every pair
-is counted over the whole corpus.
+The chance of a token mixes the shares that it has among the tokens after the
+same two words, after the same word, and anywhere, and equal chances. The
+mixture weights depend on how often the longest known context occurs; they are
+learned by expectation maximisation on counts that were kept back, and then
+serve with the counts of all training texts.
+
+Every word, pair and triple of the training texts is counted, however rare.
+Texts are cut into slices of a few MiB. A slice asks for the counts of its
+distinct n-grams, packed by groups of hashed n-grams; the askers are the
+training texts themselves, so a group adds up what it is asked and answers. The
+answers meet the slice again, where its texts are scored.
 """
 
 from __future__ import annotations
@@ -22,26 +23,30 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termspace.llm.common import Sent, bounded_slices, row_key, sums_of, text_bytes, texts_of
+from termspace.llm.common import bounded_slices, text_bytes, texts_of
 from termspace.session import scratch_path, settle
 
-# Words and pairs of at least this share of the tokens are in tables that every task gets: at most 1 / SHARE entries.
-SHARE = 1e-6
-# Tokens whose pairs meet in one group.
+# The longest n-grams.
+ORDER = 3
+SLICE_BYTES = 4 * 2**20
+# Tokens whose n-grams of one length meet in one group, on average.
 GROUP_TOKENS = 2_000_000
+# Slices that a group hears at once; beyond that their sums are added up in a second step.
+BLOCK_SLICES = 8_192
 ROUNDS = 200
-_SLICE_BYTES = 4 * 2**20
-_RATIO_STEPS, _EVEN_STEPS = 8, 4
-# Key of the end of a text, which is no word.
-END = 0
-RARE = 0
-_PAIRS, _WORDS, _COUNTS, _DOCS = range(4)
+# Keys of the end of a text and of what stands before it, which are no words.
+END, START = 0, 1
+_UNTAUGHT, _KEPT, _HELD = range(3)
+_WORD_BITS = 63
+_SPAN = 64
+_STEPS = 4
 
 
-# Tokens.
+# Tokens and n-grams.
 
 
 def word_keys(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -53,28 +58,76 @@ def word_keys(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     # Words before each text, without the empty pieces at its ends.
     before = np.r_[0, np.cumsum(real)][bounds - bounds[0]]
     coded = words.filter(pa.array(real)).dictionary_encode()
-    # 63 bits of hash: positive numbers, which pack well.
-    keys = np.array([END, *map(xxhash.xxh64_intdigest, coded.dictionary.to_pylist())], dtype=np.uint64) >> np.uint64(1)
-    keys = keys.astype(np.int64)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+    keys = np.r_[np.uint64(END), np.maximum(hashes >> np.uint64(1), np.uint64(START + 1))]
     place = np.insert(coded.indices.to_numpy().astype(np.int64) + 1, before[1:], 0)
     return keys, place, before + np.arange(len(before))
 
 
-def _slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    texts = texts_of(column)
-    for first, last in bounded_slices(text_bytes(texts)[1], _SLICE_BYTES):
-        yield first, last, *word_keys(texts[first:last])
+def _mixed(context: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """One 64-bit hash of a context's hash and a token's."""
+    mixed = context * np.uint64(0x9E3779B97F4A7C15) + token
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ (mixed >> np.uint64(32))
+
+
+def _before(values: np.ndarray, bounds: np.ndarray, first) -> np.ndarray:
+    """The value of the token before; ``first`` at the beginning of a text (every text has an end)."""
+    shifted = np.empty_like(values)
+    shifted[1:] = values[:-1]
+    shifted[bounds[:-1]] = first
+    return shifted
+
+
+@dataclass
+class Layout:
+    """How n-grams are told apart and grouped."""
+
+    order: int
+    groups: int  # of n-grams of each length
+    bits: int  # of a pair's or triple's key: 18 more than count them, so one in some 2^18 or fewer shares its key
+
+    def width(self, length: int) -> int:
+        return _WORD_BITS if length == 1 else self.bits
+
+    def group(self, keys: np.ndarray, length: int) -> np.ndarray:
+        """Ascending with the key."""
+        width = self.width(length)
+        top = min(31, width)
+        return ((keys >> (width - top)) * self.groups) >> top
+
+    def grams(self, texts: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """(bounds of the texts, per length: distinct keys in order, place of each token's, how often each occurs)."""
+        words, place, bounds = word_keys(texts)
+        distinct, back = np.unique(words.astype(np.int64), return_inverse=True)
+        place = back.ravel()[place]
+        found = [(distinct, place, np.bincount(place, minlength=len(distinct)))]
+        hashes, outside = distinct.astype(np.uint64)[place], np.full(1, START, np.uint64)
+        context = hashes
+        for length in range(2, self.order + 1):
+            context = _mixed(_before(context, bounds, outside[0]), hashes)
+            outside = _mixed(outside, np.full(1, START, np.uint64))
+            keys = (context >> np.uint64(64 - self.width(length))).astype(np.int64)
+            distinct, back, n = np.unique(keys, return_inverse=True, return_counts=True)
+            found.append((distinct, back.ravel(), n))
+        return bounds, found
 
 
 def _pack(values: np.ndarray) -> bytes:
-    """Unsigned numbers in as few bytes each as the largest needs."""
-    top = int(values.max()) if len(values) else 0
-    width = 1 if top < 2**8 else 2 if top < 2**16 else 4 if top < 2**32 else 8
-    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+    """Unsigned numbers in as few bytes as the largest needs, all first bytes first, so that they compress."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    planes = np.ascontiguousarray(values, dtype="<i8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + planes.T.tobytes()
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype=f"<u{data[0]}", offset=1).astype(np.int64)
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    values = np.zeros((planes.shape[1], 8), np.uint8)
+    values[:, : data[0]] = planes.T
+    return values.view("<i8").ravel()
 
 
 def _pack_sorted(values: np.ndarray) -> bytes:
@@ -85,226 +138,294 @@ def _unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(_unpack(data))
 
 
+def _pack_texts(texts: pa.Array) -> bytes:
+    sink = pa.BufferOutputStream()
+    batch = pa.record_batch([texts], names=["text"])
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack_texts(data: bytes) -> pa.Array:
+    return pa.ipc.open_stream(data).read_all()["text"].combine_chunks()
+
+
+# Counts.
+
+
+def _cut(slice_bytes: int):
+    """Slices of texts of one kind: not learned from, learned from, kept back."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slice_ = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            train, held = (batch.column(i).to_numpy(zero_copy_only=False).astype(bool) for i in (2, 3))
+            kinds = np.where(train, np.where(held, _HELD, _KEPT), _UNTAUGHT)
+            for kind in np.unique(kinds).tolist():
+                rows = pa.array(np.flatnonzero(kinds == kind))
+                ids, texts = batch.column(0).take(rows), texts_of(batch.column(1).take(rows))
+                for first, last in bounded_slices(text_bytes(texts)[1], slice_bytes):
+                    listed = pa.ListArray.from_arrays(pa.array([0, last - first], pa.int32()), ids[first:last])
+                    part = texts[first:last]
+                    size = len(text_bytes(part)[0]) + len(part)
+                    columns = [pa.array([slice_]), pa.array([kind], pa.int32()), pa.array([size]), listed, pa.array([_pack_texts(part)])]
+                    yield pa.RecordBatch.from_arrays(columns, names=["slice", "kind", "size", "ids", "texts"])
+                    slice_ += 1
+
+    return cut
+
+
+_ASKED = "part long, block int, slice long, kind int, keys binary, n binary"
+_ANSWERED = "slice long, kind int, part long, n binary, kept binary, types long, tokens long, kept_tokens long, texts long, kept_texts long"
+_STATS = ("types", "tokens", "kept_tokens", "texts", "kept_texts")
+
+
+def _ask(layout: Layout, blocks: int):
+    """One packed row per slice and group: distinct n-grams, and how often the slice has them."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for slice_, kind, texts in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                _, grams = layout.grams(_unpack_texts(texts))
+                rows = []
+                for length, (keys, _, n) in enumerate(grams, 1):
+                    group = layout.group(keys, length)
+                    cuts = np.r_[0, np.flatnonzero(np.diff(group)) + 1, len(group)]
+                    for first, last in zip(cuts.tolist(), cuts[1:].tolist()):
+                        part = int(group[first]) * layout.order + length - 1
+                        data = _pack_sorted(keys[first:last]), _pack(n[first:last])
+                        rows.append((part, xxhash.xxh32_intdigest(str(slice_)) % blocks, slice_, kind, *data))
+                types = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+                yield pa.RecordBatch.from_arrays(columns, names=["part", "block", "slice", "kind", "keys", "n"])
+
+    return ask
+
+
+def _added(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(distinct keys, training counts, those not kept back, places of each row's keys among them)."""
+    lists = [_unpack_sorted(x) for x in table["keys"].to_pylist()]
+    keys = np.concatenate(lists)
+    order = np.argsort(keys, kind="stable")
+    new = np.r_[True, np.diff(keys[order]) > 0]
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(new) - 1
+    n = np.concatenate([_unpack(x) for x in table["n"].to_pylist()])
+    kind = np.repeat(table["kind"].to_numpy(), [len(x) for x in lists])
+    counts = np.bincount(place, weights=n * (kind != _UNTAUGHT), minlength=int(new.sum()))
+    kept = np.bincount(place, weights=n * (kind == _KEPT), minlength=len(counts))
+    places = np.split(place, np.cumsum([len(x) for x in lists])[:-1])
+    return keys[order][new], counts.astype(np.int64), kept.astype(np.int64), places
+
+
+def _answers(table: pa.Table, counts: np.ndarray, kept: np.ndarray, places: list[np.ndarray]) -> list[tuple]:
+    part = table["part"][0].as_py()
+    rows = zip(table["slice"].to_pylist(), table["kind"].to_pylist(), places)
+    # What is left without the texts kept back is asked for by those alone.
+    return [
+        (slice_, kind, part, _pack(counts[at]), _pack(kept[at]) if kind == _HELD else b"", *[0] * 5) for slice_, kind, at in rows
+    ]
+
+
+def _totals(layout: Layout, part: int, keys: np.ndarray, counts: np.ndarray, kept: np.ndarray) -> tuple:
+    """A row without a slice: what the words of a group add to the corpus's totals."""
+    of_words = part % layout.order == 0
+    ends = keys == END
+    sums = [(counts > 0).sum(), counts.sum(), kept.sum(), counts[ends].sum(), kept[ends].sum()]
+    return (-1, -1, part, b"", b"", *[int(x) if of_words else 0 for x in sums])
+
+
+def _answered(rows: list[tuple]) -> pa.Table:
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 5)
+    names = ("slice", "kind", "part", "n", "kept", *_STATS)
+    return pa.table([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * len(types), types)], names=list(names))
+
+
+def _count(asked: DataFrame, layout: Layout, blocks: int) -> DataFrame:
+    """The answers to all slices, and the totals of each group of words."""
+
+    def at_once(table: pa.Table) -> pa.Table:
+        keys, counts, kept, places = _added(table)
+        return _answered([*_answers(table, counts, kept, places), _totals(layout, table["part"][0].as_py(), keys, counts, kept)])
+
+    if blocks == 1:
+        return asked.groupBy("part").applyInArrow(at_once, _ANSWERED)
+
+    # A word that every slice has would bring as many entries to its group as there are slices. So blocks
+    # of slices are added up first, then the sums of the blocks, and each block answers its slices.
+    def of_block(table: pa.Table) -> pa.Table:
+        keys, counts, kept, _ = _added(table)
+        packed = {"keys": [_pack_sorted(keys)], "counts": [_pack(counts)], "kept": [_pack(kept)]}
+        return pa.table({"part": table["part"][:1], "block": table["block"][:1], **packed})
+
+    def of_all(table: pa.Table) -> pa.Table:
+        lists = [_unpack_sorted(x) for x in table["keys"].to_pylist()]
+        keys, place = np.unique(np.concatenate(lists), return_inverse=True)
+        sums = [
+            np.bincount(place, weights=np.concatenate([_unpack(x) for x in table[c].to_pylist()])).astype(np.int64)
+            for c in ("counts", "kept")
+        ]
+        part = table["part"][0].as_py()
+        totals = _totals(layout, part, keys, *sums)
+        rows = [(b, *(_pack(s[at]) for s in sums)) for b, at in zip(table["block"].to_pylist(), np.split(place, np.cumsum([len(x) for x in lists])[:-1]))]
+        block, counts, kept = zip(*rows)
+        stats = {c: pa.array([x] + [0] * (len(rows) - 1), pa.int64()) for c, x in zip(_STATS, totals[5:])}
+        named = {"part": pa.array([part] * len(rows), pa.int64()), "block": pa.array(block, pa.int32()), "counts": counts, "kept": kept}
+        return pa.table({**named, **stats})
+
+    def to_slices(table: pa.Table, sums: pa.Table) -> pa.Table:
+        places = _added(table)[3]
+        counts, kept = (_unpack(sums[c][0].as_py()) for c in ("counts", "kept"))
+        totals = (-1, -1, table["part"][0].as_py(), b"", b"", *(sums[c][0].as_py() for c in _STATS))
+        return _answered([*_answers(table, counts, kept, places), totals])
+
+    partial = asked.groupBy("part", "block").applyInArrow(of_block, "part long, block int, keys binary, counts binary, kept binary")
+    stats = ", ".join(f"{c} long" for c in _STATS)
+    sums = partial.groupBy("part").applyInArrow(of_all, f"part long, block int, counts binary, kept binary, {stats}")
+    return asked.groupBy("part", "block").cogroup(sums.groupBy("part", "block")).applyInArrow(to_slices, _ANSWERED)
+
+
 # The model.
 
 
 @dataclass
 class Model:
-    """Tables of bounded size; counts of rarer words and pairs stay in Spark."""
+    """What every task needs: totals and weights. All counts stay in Spark."""
 
+    layout: Layout
     tokens: int
+    kept_tokens: int
     types: int
-    words: np.ndarray  # keys of the classes 1, 2, ..., sorted
-    counts: np.ndarray  # tokens of each class, all rare words first
-    kept: np.ndarray  # the same, without what was kept back
-    rare_types: int
-    groups: int
-    weights: np.ndarray | None = None  # per context frequency: pair, token, equal
-    hot: np.ndarray | None = None  # frequent pairs, sorted, and their counts
-    hot_counts: np.ndarray | None = None
-
-    @property
-    def start(self) -> int:
-        """The context of a text's first token."""
-        return len(self.counts)
-
-    def classes(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(keys), np.int64)
-        at = np.minimum(np.searchsorted(self.words, keys), len(self.words) - 1)
-        return np.where(self.words[at] == keys, at + 1, RARE)
-
-    def pairs(self, classes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Context and token of every token as one number."""
-        context = np.r_[self.start, classes[:-1]]
-        context[bounds[:-1][bounds[:-1] < len(classes)]] = self.start
-        return context * (self.start + 1) + classes
-
-    def context_counts(self, counts: np.ndarray, texts: int) -> np.ndarray:
-        """How often each class, and the start, is followed by a token; an end never is."""
-        return np.r_[counts, texts].astype(float)
-
-    def estimates(self, pair: np.ndarray, n: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(context count, pair share, token share, equal share) of pairs that occur n times."""
-        total = max(1.0, float(counts.sum()))
-        texts = counts[self.classes(np.array([END]))[0]]
-        context, token = pair // (self.start + 1), pair % (self.start + 1)
-        followed = self.context_counts(counts, texts)[context]
-        sizes = np.where(token == RARE, self.rare_types + 1, 1) / (self.types + 1)
-        return followed, n / np.maximum(followed, 1), counts[token] / total, sizes
-
-    def log_chance(self, pair: np.ndarray, n: np.ndarray) -> np.ndarray:
-        followed, *shares = self.estimates(pair, n, self.counts)
-        weights = self.weights[_frequency(followed)]
-        return np.log10(sum(weights[:, i] * share for i, share in enumerate(shares)))
-
-    def base_chance(self, n: np.ndarray) -> np.ndarray:
-        return np.log10((n + 0.5) / (self.tokens + 0.5 * (self.types + 1)))
-
-    def rare_chance(self, n: np.ndarray) -> np.ndarray:
-        """Of a rare word among the rare words."""
-        return np.log10((n + 0.5) / (self.counts[RARE] + 0.5 * (self.rare_types + 1)))
-
-
-def _frequency(followed: np.ndarray) -> np.ndarray:
+    texts: int
+    kept_texts: int
+    weights: np.ndarray | None = None  # per bucket: longest n-gram, ..., token, equal
+
+    def estimates(self, counts: list[np.ndarray], bounds: np.ndarray, kept: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(bucket of each token, its shares: after the longest context first, then any token's, then equal)."""
+        tokens, texts = (self.kept_tokens, self.kept_texts) if kept else (self.tokens, self.texts)
+        equal = np.full(len(counts[0]), 1 / (self.types + 1))
+        shares = [equal, counts[0] / max(1, tokens)]
+        bucket = np.zeros(len(counts[0]), np.int64)
+        for longer in range(1, len(counts)):
+            followed = _before(counts[longer - 1], bounds, texts)
+            shares.append(counts[longer] / np.maximum(followed, 1))
+            bucket = np.where(followed > 0, _SPAN * (longer - 1) + frequency(followed), bucket)
+        return bucket, np.stack(shares[::-1], axis=1)
+
+    def chances(self, counts: list[np.ndarray], bounds: np.ndarray) -> np.ndarray:
+        bucket, shares = self.estimates(counts, bounds)
+        return (self.weights[bucket] * shares).sum(axis=1)
+
+    def base_chances(self, n: np.ndarray) -> np.ndarray:
+        return (n + 0.5) / (self.tokens + 0.5 * (self.types + 1))
+
+
+def frequency(followed: np.ndarray) -> np.ndarray:
     """Bucket of a context's count: 0, then one per doubling."""
     return np.where(followed >= 1, np.floor(np.log2(np.maximum(followed, 1))) + 1, 0).astype(np.int64)
 
 
-_BUCKETS = 64
-
-
-def learn_weights(cells: np.ndarray) -> np.ndarray:
+def learn_weights(bucket: np.ndarray, n: np.ndarray, parts: np.ndarray, order: int) -> np.ndarray:
     """Mixture weights by expectation maximisation.
 
-    ``cells``: context bucket, number of kept-back pairs, and their shares of
-    pair and of equal chances relative to the token share. Buckets with few kept
-    back lean on the weights of all.
+    Per cell: its bucket, number of kept-back tokens, and their shares relative
+    to that of the token alone. Buckets with few kept back lean on the weights
+    of all.
     """
-    everywhere = _maximise(cells, np.full(3, 1 / 3), 0.0)
-    weights = np.tile(everywhere, (_BUCKETS, 1))
-    for bucket in np.unique(cells[:, 0].astype(int)):
-        weights[bucket] = _maximise(cells[cells[:, 0] == bucket], everywhere, 20.0)
+    everywhere = _maximise(n, parts, np.full(order + 1, 1 / (order + 1)), 0.0)
+    weights = np.tile(everywhere, (_SPAN * max(1, order - 1), 1))
+    for found in np.unique(bucket):
+        of_bucket = bucket == found
+        weights[found] = _maximise(n[of_bucket], parts[of_bucket], everywhere, 20.0)
     # A context never seen tells nothing.
-    weights[0, 0] = 0.0
-    weights = np.maximum(weights, [0.0, 1e-6, 1e-6])
+    for longer in range(1, order):
+        weights[: _SPAN * (longer - 1) + 1, order - 1 - longer] = 0.0
+    weights[:, -2:] = np.maximum(weights[:, -2:], 1e-6)
     return weights / weights.sum(axis=1, keepdims=True)
 
 
-def _maximise(cells: np.ndarray, prior: np.ndarray, strength: float) -> np.ndarray:
-    weights = np.array([0.4, 0.4, 0.2])
-    n = cells[:, 1]
-    parts = np.stack([cells[:, 2], np.ones(len(cells)), cells[:, 3]], axis=1)
-    for _ in range(ROUNDS if len(cells) else 0):
+def _maximise(n: np.ndarray, parts: np.ndarray, prior: np.ndarray, strength: float) -> np.ndarray:
+    if not len(n):
+        return prior
+    weights = np.full(len(prior), 1 / len(prior))
+    for _ in range(ROUNDS):
         mixed = parts * weights
-        chance = mixed / np.maximum(mixed.sum(axis=1, keepdims=True), 1e-300)
-        following = (n[:, None] * chance).sum(axis=0) + strength * prior
+        following = n / np.maximum(mixed.sum(axis=1), 1e-300) @ mixed + strength * prior
         following /= max(following.sum(), 1e-300)
-        if np.abs(following - weights).max() < 1e-7:
+        if np.abs(following - weights).max() < 1e-6:
             return following
         weights = following
-    return weights if len(cells) else prior
-
+    return weights
 
-def fit(rows: DataFrame, work: str, share: float = SHARE) -> tuple[Model, DataFrame]:
-    """(model, word counts) from rows (_text, _train, _held): held ones of the training rows are kept back first."""
-    spark = rows.sparkSession
-    training = rows.filter("_train")
 
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held_rows = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            for first, last, keys, place, bounds in _slices(batch.column(0)):
-                held = np.repeat(held_rows[first:last], np.diff(bounds))
-                all_ = np.bincount(place, minlength=len(keys))
-                kept = np.bincount(place[~held], minlength=len(keys))
-                yield pa.record_batch([pa.array(keys), pa.array(all_), pa.array(kept)], names=["word", "n", "kept"])
-
-    counted = training.select("_text", "_held").mapInArrow(count_words, "word long, n long, kept long")
-    words = counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("kept").alias("kept")).filter("n > 0")
-    words = settle(words, "words", work)
-    row = words.agg(F.sum("n").alias("n"), F.sum("kept").alias("kept"), F.count("*").alias("types")).first()
-    tokens, types = row["n"] or 0, row["types"]
-    is_class = (F.col("n") >= share * tokens) | (F.col("word") == END)
-    # At most 1 / share rows and the end.
-    found = words.filter(is_class).orderBy("word").toArrow()
-    n, kept = (found[c].to_numpy().astype(np.int64) for c in ("n", "kept"))
-    model = Model(
-        tokens,
-        types,
-        found["word"].to_numpy().astype(np.int64),
-        np.r_[tokens - n.sum(), n],
-        np.r_[(row["kept"] or 0) - kept.sum(), kept],
-        types - len(n),
-        max(1, math.ceil(tokens / GROUP_TOKENS)),
-    )
-    _count_pairs(training, model, work, share)
-    return model, words.filter(~is_class).select("word", "n")
+def _counts_of(grams: list[tuple], answers: pa.Table, column: str) -> list[np.ndarray]:
+    """Counts of every token's n-grams, by length, from the answers to their slice."""
+    answers = answers.sort_by("part")
+    part, packed = answers["part"].to_numpy(), answers[column].to_pylist()
+    order = len(grams)
+    found = []
+    for length, (_, place, _) in enumerate(grams):
+        each = [_unpack(packed[i]) for i in np.flatnonzero(part % order == length)]
+        found.append(np.concatenate(each)[place])
+    return found
 
 
-def _count_pairs(training: DataFrame, model: Model, work: str, share: float) -> None:
-    """Learn the weights, and list the frequent pairs, from the counts of all pairs."""
-    sent = Sent(training.sparkSession, model)
+def _cells(model: Model):
+    """Kept-back tokens of a slice, added up where bucket and shares are alike; each cell keeps its mean shares."""
 
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.get()
-        for batch in batches:
-            held_rows = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            for first, last, keys, place, bounds in _slices(batch.column(0)):
-                held = np.repeat(held_rows[first:last], np.diff(bounds))
-                pairs = model.pairs(model.classes(keys)[place], bounds)
-                # Group first, so that a group's pairs stand together in order.
-                coded = pairs * 2 + held
-                distinct, n = np.unique(coded, return_counts=True)
-                group = distinct // 2 % model.groups
-                order = np.argsort(group, kind="stable")
-                distinct, n, group = distinct[order], n[order], group[order]
-                cuts = np.searchsorted(group, np.arange(model.groups + 1))
-                for g in range(model.groups):
-                    part = slice(cuts[g], cuts[g + 1])
-                    if cuts[g] < cuts[g + 1]:
-                        # Within a group the remainder of the pair is known.
-                        short = distinct[part] // 2 // model.groups * 2 + distinct[part] % 2
-                        yield pa.RecordBatch.from_pydict(
-                            {"group": pa.array([g], pa.int32()), "pairs": [_pack_sorted(short)], "n": [_pack(n[part])]}
-                        )
-
-    def add_up(key: tuple, table: pa.Table) -> pa.Table:
-        model, group = sent.get(), key[0].as_py()
-        coded = np.concatenate([_unpack_sorted(x) for x in table["pairs"].to_pylist()])
-        n = np.concatenate([_unpack(x) for x in table["n"].to_pylist()])
-        order = np.argsort(coded, kind="stable")
-        coded, n = coded[order], n[order]
-        pair = coded // 2 * model.groups + group
-        starts = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
-        held = np.add.reduceat(np.where(coded % 2 == 1, n, 0), starts)
-        all_ = np.add.reduceat(n, starts)
-        pair, kept = pair[starts], all_ - held
-        hot = all_ >= max(2, share * model.tokens)
-        seen = np.flatnonzero(held)
-        followed, of_pair, of_token, equal = model.estimates(pair[seen], kept[seen], model.kept)
+    def cells(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        bounds, grams = model.layout.grams(_unpack_texts(texts["texts"][0].as_py()))
+        bucket, shares = model.estimates(_counts_of(grams, answers, "kept"), bounds, kept=True)
         # A token that only the kept-back texts have gets the smallest share there is.
-        of_token = np.maximum(of_token, 0.5 / max(1.0, float(model.kept.sum())))
-        ratio, even = of_pair / of_token, equal / of_token
-        step = np.where(ratio > 0, np.round(np.log2(np.maximum(ratio, 1e-9)) * _RATIO_STEPS), -1_000)
-        cell = np.stack([_frequency(followed), step, np.round(np.log2(even) * _EVEN_STEPS)], axis=1).astype(np.int64)
-        cell, back = np.unique(cell, axis=0, return_inverse=True)
-        back, weight = back.ravel(), held[seen].astype(float)
-        sums = [np.bincount(back, weights=weight * x, minlength=len(cell)) for x in (np.ones(len(seen)), ratio, even)]
-        zeros = np.zeros(hot.sum())
-        return pa.table(
-            {
-                "hot": np.r_[np.ones(hot.sum(), bool), np.zeros(len(cell), bool)],
-                "pair": np.r_[pair[hot], np.zeros(len(cell), np.int64)],
-                "bucket": np.r_[zeros, cell[:, 0]].astype(np.int64),
-                "ratio_step": np.r_[zeros, cell[:, 1]].astype(np.int64),
-                "even_step": np.r_[zeros, cell[:, 2]].astype(np.int64),
-                "n": np.r_[all_[hot].astype(float), sums[0]],
-                "ratio": np.r_[zeros, sums[1]],
-                "even": np.r_[zeros, sums[2]],
-            }
-        )
-
-    packed = training.select("_text", "_held").mapInArrow(count_pairs, "group int, pairs binary, n binary")
-    schema = "hot boolean, pair long, bucket long, ratio_step long, even_step long, n double, ratio double, even double"
-    found = settle(packed.groupBy("group").applyInArrow(add_up, schema), "pairs", work)
-    # As many cells as buckets and steps; at most 1 / share frequent pairs.
-    cells = (
-        found.filter("NOT hot")
-        .groupBy("bucket", "ratio_step", "even_step")
-        .agg(F.sum("n").alias("n"), F.sum("ratio").alias("ratio"), F.sum("even").alias("even"))
-        .orderBy("bucket", "ratio_step", "even_step")
-        .toArrow()
-    )
-    bucket, n, ratio, even = (cells[c].to_numpy().astype(float) for c in ("bucket", "n", "ratio", "even"))
-    model.weights = learn_weights(np.stack([bucket, n, ratio / np.maximum(n, 1), even / np.maximum(n, 1)], axis=1))
-    hot = found.filter("hot").orderBy("pair").select("pair", "n").toArrow()
-    model.hot, model.hot_counts = hot["pair"].to_numpy(), hot["n"].to_numpy()
+        shares[:, -2] = np.maximum(shares[:, -2], 0.5 / max(1, model.kept_tokens))
+        shares /= shares[:, -2:-1]
+        with np.errstate(divide="ignore"):
+            steps = np.where(shares > 0, np.round(np.log2(shares) * _STEPS), -999).astype(np.int64)
+        code = bucket
+        for column in range(shares.shape[1]):
+            code = code * 2_048 + steps[:, column] + 1_000 if column != shares.shape[1] - 2 else code
+        distinct, back = np.unique(code, return_inverse=True)
+        sums = [np.bincount(back, weights=shares[:, i]) for i in range(shares.shape[1])]
+        of_cell = np.zeros(len(distinct), np.int64)
+        of_cell[back] = bucket
+        return pa.table({"cell": distinct, "bucket": of_cell, "n": np.bincount(back).astype(float), **{f"s{i}": s for i, s in enumerate(sums)}})
+
+    return cells
+
+
+def _learn(slices: DataFrame, answers: DataFrame, model: Model) -> np.ndarray:
+    columns = [f"s{i}" for i in range(model.layout.order + 1)]
+    schema = "cell long, bucket long, n double, " + ", ".join(f"{c} double" for c in columns)
+    held = slices.filter(F.col("kind") == _HELD).select("slice", "texts")
+    told = answers.filter(F.col("kind") == _HELD).select("slice", "part", "kept")
+    found = held.groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(_cells(model), schema)
+    sums = found.groupBy("cell", "bucket").agg(*[F.sum(c).alias(c) for c in ("n", *columns)]).orderBy("cell", "bucket")
+    # As many cells as kinds of shares in quarter doublings: their number grows with the logarithm of the counts.
+    cells = sums.toArrow()
+    n = cells["n"].to_numpy()
+    parts = np.stack([cells[c].to_numpy() for c in columns], axis=1) / np.maximum(n, 1)[:, None]
+    return learn_weights(cells["bucket"].to_numpy(), n, parts, model.layout.order)
 
 
 # Scores.
 
-_PARTS = "n_tokens long, n_known long, base double, score double"
+
+def _score(model: Model):
+    def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        ids = texts["ids"].combine_chunks().flatten()
+        bounds, grams = model.layout.grams(_unpack_texts(texts["texts"][0].as_py()))
+        counts = _counts_of(grams, answers, "n")
+        columns = [
+            ids,
+            np.diff(bounds),
+            # Added up text by text, so that equal texts get equal sums.
+            np.add.reduceat((counts[0] > 0).astype(np.int64), bounds[:-1]),
+            np.add.reduceat(np.log10(model.base_chances(counts[0])), bounds[:-1]),
+            np.add.reduceat(np.log10(model.chances(counts, bounds)), bounds[:-1]),
+        ]
+        return pa.Table.from_arrays([pa.array(c) for c in columns], names=["_id", "n_tokens", "n_known", "base", "score"])
+
+    return score
 
 
 def score(
@@ -313,25 +434,28 @@ def score(
     held: Column,
     doc_id: str = "doc_id",
     text: str = "text",
-    share: float = SHARE,
+    order: int = ORDER,
     work: str | None = None,
+    slice_bytes: int = SLICE_BYTES,
+    group_tokens: int = GROUP_TOKENS,
+    block_slices: int = BLOCK_SLICES,
 ) -> tuple[DataFrame, Model]:
     """((doc_id, n_tokens, n_known, base_score, score) of every row of ``docs``, the model).
 
     ``train`` tells the rows to learn from, ``held`` those of them that are kept
-    back while the mixture weights are learned. Whole texts are lower-cased (A-Z)
-    and cut into words, and an end, which is a token too; a null or empty text is
-    an end alone. ``n_known`` counts tokens that occur in training texts,
-    ``base_score`` adds log10((c + 0.5) / (N + 0.5 * (V + 1))) over the tokens,
-    and ``score`` is the model's log10 chance of the text. Repeated rows get
-    equal scores each; null ids are kept; where ``train`` is null a row is not
-    learned from. With nothing to learn from all words have equal chances. An
-    empty table gives an empty result.
-
-    Words and pairs that are frequent are scored where the text is read, by
-    tables of bounded size. The rarer ones meet their counts in groups: one
-    packed row per group and slice of text is shuffled, in which a text's
-    repeats are one entry; sums per text come back, packed likewise.
+    back while the mixture weights are learned; ``order`` is the length of the
+    longest n-grams. Whole texts are lower-cased (A-Z) and cut into words, and an
+    end, which is a token too; a null or empty text is an end alone. ``n_known``
+    counts tokens that occur in training texts, ``base_score`` adds
+    log10((c + 0.5) / (N + 0.5 * (V + 1))) over the tokens, and ``score`` is the
+    model's log10 chance of the text, in which a word never seen has the chance
+    of all such words. Repeated rows get equal scores each; null ids are kept;
+    where ``train`` is null a row is not learned from. With nothing to learn from
+    all words have equal chances. An empty table gives an empty result. A text
+    longer than a slice is a slice of its own.
+
+    The sizes of slices, groups and blocks change no count: a group's task holds
+    some ``group_tokens`` n-grams, and hears of at most ``block_slices`` slices.
     """
     work = work or scratch_path(docs.sparkSession, "language-model")
     never = F.lit(False)
@@ -341,199 +465,22 @@ def score(
         F.coalesce(train, never).alias("_train"),
         F.coalesce(held, never).alias("_held"),
     )
-    model, rare = fit(rows, work, share)
-    sent = Sent(docs.sparkSession, model)
     id_type = rows.schema["_id"].dataType.simpleString()
-    packed = f"group int, kind int, data array<binary>, ids array<{id_type}>"
-    parts = rows.select("_id", "_text", "_train", row_key("_id", "_text").alias("_key")).mapInArrow(_scan(sent), packed)
-    # The counts of rare words go where these words are asked for.
-    counts = rare.mapInArrow(_route_counts(sent), "group int, kind int, data array<binary>")
-    counts = counts.withColumn("ids", F.lit(None).cast(f"array<{id_type}>"))
-    both = parts.unionByName(counts)
-    sums = both.groupBy("group").applyInArrow(_meet(sent), packed)
-    scored = sums.groupBy("group").applyInArrow(_total, f"_id {id_type}, {_PARTS}")
+    cut = rows.mapInArrow(_cut(slice_bytes), f"slice long, kind int, size long, ids array<{id_type}>, texts binary")
+    # Written, as a slice must stay the same until its answers come.
+    slices = settle(cut, "slices", work)
+    row = slices.agg(F.count("*").alias("slices"), F.sum("size").alias("size")).first()
+    size = row["size"] or 0
+    # Some six bytes a token.
+    layout = Layout(order, max(1, math.ceil(size / 6 / group_tokens)), min(62, 18 + (size + 2).bit_length()))
+    blocks = max(1, math.ceil(row["slices"] / block_slices))
+    asked = slices.select("slice", "kind", "texts").mapInArrow(_ask(layout, blocks), _ASKED)
+    answers = settle(_count(asked, layout, blocks), "answers", work)
+    stats = answers.filter("slice < 0").agg(*[F.sum(c).alias(c) for c in _STATS]).first()
+    model = Model(layout, **{c: stats[c] or 0 for c in _STATS})
+    model.weights = _learn(slices, answers, model)
+    told = answers.filter("slice >= 0").select("slice", "part", "n")
+    parts = slices.select("slice", "ids", "texts").groupBy("slice").cogroup(told.groupBy("slice"))
+    scored = parts.applyInArrow(_score(model), f"_id {id_type}, n_tokens long, n_known long, base double, score double")
     found = scored.select(F.col("_id").alias(doc_id), "n_tokens", "n_known", F.col("base").alias("base_score"), "score")
     return found, model
-
-
-def _entries(value: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct values, entries of each, text of each entry, its count): values by text, repeats added up."""
-    order = np.lexsort((doc, value))
-    value, doc = value[order], doc[order]
-    new = np.flatnonzero(np.r_[True, (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])]) if len(value) else np.zeros(0, np.int64)
-    n = np.diff(np.r_[new, len(value)])
-    value, doc = value[new], doc[new]
-    first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]]) if len(value) else new
-    return value[first], np.diff(np.r_[first, len(value)]), doc, n
-
-
-def _routed(kind: int, group: np.ndarray, short: np.ndarray, doc: np.ndarray, keys: np.ndarray, train: np.ndarray, groups: int):
-    """One packed row per group: values, entries per value, texts, counts, and the texts' keys and training flags."""
-    order = np.argsort(group, kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(groups + 1))
-    for g in range(groups):
-        part = order[cuts[g] : cuts[g + 1]]
-        if len(part):
-            value, entries, of_doc, n = _entries(short[part], doc[part])
-            docs, slot = np.unique(of_doc, return_inverse=True)
-            data = [_pack_sorted(value), _pack(entries), _pack(slot), _pack(n), keys[docs].tobytes(), train[docs].tobytes()]
-            yield g, kind, data
-
-
-def _scan(sent):
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.get()
-        for batch in batches:
-            train_rows = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            key_rows = batch.column(3).to_numpy()
-            for first, last, words, place, bounds in _slices(batch.column(1)):
-                train, keys = train_rows[first:last], key_rows[first:last]
-                doc = np.repeat(np.arange(last - first), np.diff(bounds))
-                classes = model.classes(words)[place]
-                pairs = model.pairs(classes, bounds)
-                frequent = classes != RARE
-                base = np.where(frequent, model.base_chance(model.counts[classes]), 0.0)
-                # Frequent pairs are scored here.
-                value, back = np.unique(pairs, return_inverse=True)
-                at = np.minimum(np.searchsorted(model.hot, value), max(0, len(model.hot) - 1))
-                hot = model.hot[at] == value if len(model.hot) else np.zeros(len(value), bool)
-                chance = np.zeros(len(value))
-                if hot.any():
-                    chance[hot] = model.log_chance(value[hot], model.hot_counts[at[hot]])
-                here = {
-                    "n_tokens": np.diff(bounds),
-                    "n_known": sums_of((frequent & (model.counts[classes] > 0)).astype(np.int64), bounds),
-                    "base": sums_of(base, bounds),
-                    "score": sums_of(chance[back], bounds),
-                }
-                data = [keys.tobytes(), *(here[c].astype("<f8").tobytes() for c in here)]
-                rows = [(int(keys[0]) % model.groups, _DOCS, data)]
-                cold = ~hot[back]
-                rows += _routed(_PAIRS, (pairs % model.groups)[cold], (pairs // model.groups)[cold], doc[cold], keys, train, model.groups)
-                rare = ~frequent
-                word = words[place][rare]
-                rows += _routed(_WORDS, word % model.groups, word // model.groups, doc[rare], keys, train, model.groups)
-                for group, kind, packed in rows:
-                    ids = batch.column(0)[first:last] if kind == _DOCS else pa.nulls(0, batch.column(0).type)
-                    yield _row(group, kind, packed, ids)
-
-    return scan
-
-
-def _row(group: int, kind: int, data: list[bytes], ids: pa.Array) -> pa.RecordBatch:
-    listed = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
-    columns = [pa.array([group], pa.int32()), pa.array([kind], pa.int32()), pa.array([data], pa.list_(pa.binary())), listed]
-    return pa.RecordBatch.from_arrays(columns, names=["group", "kind", "data", "ids"])
-
-
-_ROUTED = pa.schema([("group", pa.int32()), ("kind", pa.int32()), ("data", pa.list_(pa.binary()))])
-
-
-def _route_counts(sent):
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.get()
-        for batch in batches:
-            word, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            order = np.lexsort((word, word % model.groups))
-            word, n = word[order], n[order]
-            cuts = np.searchsorted(word % model.groups, np.arange(model.groups + 1))
-            for g in range(model.groups):
-                part = slice(cuts[g], cuts[g + 1])
-                if cuts[g] < cuts[g + 1]:
-                    packed = [_pack_sorted(word[part] // model.groups), _pack(n[part])]
-                    row = {"group": pa.array([g], pa.int32()), "kind": pa.array([_COUNTS], pa.int32()), "data": [packed]}
-                    yield pa.RecordBatch.from_pydict(row, schema=_ROUTED)
-
-    return route
-
-
-def _meet(sent):
-    """Scores of a group's pairs and rare words, summed per text and sent on by the text's key."""
-
-    def meet(key: tuple, table: pa.Table) -> pa.Table:
-        model, group = sent.get(), key[0].as_py()
-        kinds = table["kind"].to_numpy()
-        data, ids = table["data"].to_pylist(), table["ids"].combine_chunks()
-        at = {kind: [data[i] for i in np.flatnonzero(kinds == kind)] for kind in range(4)}
-        out = []
-        for i in np.flatnonzero(kinds == _DOCS).tolist():
-            sums = [np.frombuffer(x, kind) for x, kind in zip(data[i], _DOC_SUMS)]
-            out += _sent_on(_DOCS, sums, ids.slice(i, 1).flatten(), model.groups)
-        nobody = pa.nulls(0, ids.type.value_type)
-        if at[_PAIRS]:
-            value, of_entry, doc, n, keys, train = _gathered(at[_PAIRS])
-            seen = np.bincount(of_entry, weights=n * train[doc], minlength=len(value))
-            chance = model.log_chance(value * model.groups + group, seen)
-            found = np.bincount(doc, weights=chance[of_entry] * n, minlength=len(keys))
-            out += _sent_on(_PAIRS, [keys, found], nobody, model.groups)
-        if at[_WORDS]:
-            value, of_entry, doc, n, keys, _ = _gathered(at[_WORDS])
-            words = np.concatenate([np.zeros(0, np.int64), *(_unpack_sorted(c[0]) for c in at[_COUNTS])])
-            times = np.concatenate([np.zeros(0, np.int64), *(_unpack(c[1]) for c in at[_COUNTS])])
-            order = np.argsort(words)
-            words, times = np.r_[words[order], -1], np.r_[times[order], 0]
-            place = np.searchsorted(words[:-1], value)
-            seen = np.where(words[place] == value, times[place], 0)
-            each = [(seen > 0).astype(float), model.base_chance(seen), model.rare_chance(seen)]
-            sums = [np.bincount(doc, weights=x[of_entry] * n, minlength=len(keys)) for x in each]
-            out += _sent_on(_WORDS, [keys, *sums], nobody, model.groups)
-        types = [("group", pa.int32()), ("kind", pa.int32()), ("data", pa.list_(pa.binary())), ("ids", ids.type)]
-        columns = list(zip(*out)) or [[]] * 4
-        columns[3] = [x.to_pylist() for x in columns[3]]
-        return pa.table([pa.array(c, t) for c, (_, t) in zip(columns, types)], schema=pa.schema(types))
-
-    return meet
-
-
-# Of a text's own row: key, tokens, known tokens, base, score.
-_DOC_SUMS = ("<i8", "<f8", "<f8", "<f8", "<f8")
-
-
-def _sent_on(kind: int, sums: list[np.ndarray], ids: pa.Array, groups: int):
-    """One packed row per group of text keys; the keys come first."""
-    to = sums[0] % groups
-    order = np.argsort(to, kind="stable")
-    cuts = np.searchsorted(to[order], np.arange(groups + 1))
-    for g in range(groups):
-        part = order[cuts[g] : cuts[g + 1]]
-        if len(part):
-            yield g, kind, [x[part].tobytes() for x in sums], ids.take(pa.array(part)) if len(ids) else ids
-
-
-def _total(table: pa.Table) -> pa.Table:
-    """Sums per text; texts that share a key have been added up, and each gets its part."""
-    kinds = table["kind"].to_numpy()
-    data, ids = table["data"].to_pylist(), table["ids"].combine_chunks()
-    own = np.flatnonzero(kinds == _DOCS)
-    keys = np.concatenate([np.frombuffer(data[i][0], "<i8") for i in own])
-    distinct, back, rows = np.unique(keys, return_inverse=True, return_counts=True)
-    totals = np.zeros((4, len(distinct)))
-    for kind, row in zip(kinds.tolist(), data):
-        place = np.searchsorted(distinct, np.frombuffer(row[0], "<i8"))
-        for into, values in zip(_SUMS_OF[kind], row[1:]):
-            np.add.at(totals[into], place, np.frombuffer(values, "<f8"))
-    each = (totals / rows)[:, back]
-    whole = np.rint(each[:2]).astype(np.int64)
-    named = pa.concat_arrays([ids.slice(int(i), 1).flatten() for i in own])
-    columns = [named, *map(pa.array, whole), *map(pa.array, each[2:])]
-    return pa.Table.from_arrays(columns, names=["_id", "n_tokens", "n_known", "base", "score"])
-
-
-# Which sums (tokens, known, base, score) a kind of row carries after the keys.
-_SUMS_OF = {_DOCS: (0, 1, 2, 3), _PAIRS: (3,), _WORDS: (1, 2, 3)}
-
-
-def _gathered(rows: list[list[bytes]]) -> tuple[np.ndarray, ...]:
-    """(distinct values, value of each entry, text and count of each entry, keys and training flags of the texts)."""
-    values, entries, docs, n, keys, train, before = [], [], [], [], [], [], 0
-    for value, entry, slot, count, key, flag in rows:
-        values.append(_unpack_sorted(value))
-        entries.append(_unpack(entry))
-        docs.append(_unpack(slot) + before)
-        n.append(_unpack(count))
-        keys.append(np.frombuffer(key, "<i8"))
-        train.append(np.frombuffer(flag, bool))
-        before += len(keys[-1])
-    distinct, back = np.unique(np.concatenate(values), return_inverse=True)
-    of_entry = np.repeat(back, np.concatenate(entries))
-    return distinct, of_entry, np.concatenate(docs), np.concatenate(n), np.concatenate(keys), np.concatenate(train)

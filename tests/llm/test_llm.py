@@ -177,45 +177,57 @@ def test_lm_base_score_agrees_with_brute_force(spark, texts):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def test_lm_score_agrees_with_brute_force_model(documents, texts):
-    """The mixture worked out pair by pair, with the weights that were learned."""
+@pytest.mark.parametrize("sizes", [{}, {"slice_bytes": 20_000, "group_tokens": 3_000, "block_slices": 4}, {"order": 2}])
+def test_lm_score_agrees_with_brute_force_model(documents, texts, sizes):
+    """The mixture worked out token by token, with the weights that were learned; sizes of slices and groups change nothing."""
+    order = sizes.get("order", interpolation_lm.ORDER)
     train = F.col("doc_id") % 3 != 0
-    scored, model = interpolation_lm.score(documents, train, F.col("doc_id") % 3 == 1, share=2e-4)
-    tokens = {d: words(t) + [None] for d, t in texts.items()}
-    counts = collections.Counter(w for d, ws in tokens.items() if d % 3 for w in ws)
-    total = sum(counts.values())
-    frequent = {w for w, n in counts.items() if n >= 2e-4 * total or w is None}
-    of_class = lambda w: w if w in frequent else "rare class"
-    chain = {d: ["start class", *map(of_class, ws)] for d, ws in tokens.items()}
-    pairs = collections.Counter(p for d, c in chain.items() if d % 3 for p in zip(c, c[1:]))
-    followed = collections.Counter(p[0] for p in pairs.elements())
-    classes = collections.Counter(c for d, cs in chain.items() if d % 3 for c in cs[1:])
-    rare_types = len([w for w in counts if w not in frequent])
-    rare_tokens = classes["rare class"]
+    scored, model = interpolation_lm.score(documents, train, F.col("doc_id") % 3 == 1, **sizes)
+    # "" stands before a text, None ends it.
+    chains = {d: [""] * (order - 1) + words(t) + [None] for d, t in texts.items()}
+    grams = lambda chain, n: [tuple(chain[i - n + 1 : i + 1]) for i in range(order - 1, len(chain))]
+    counts = [collections.Counter(g for d, c in chains.items() if d % 3 for g in grams(c, n)) for n in range(1, order + 1)]
+    followed = [collections.Counter() for _ in range(order)]
+    for longer in range(1, order):
+        for gram, n in counts[longer].items():
+            followed[longer][gram[:-1]] += n
+    total, types = sum(counts[0].values()), len(counts[0])
+    assert (model.tokens, model.types, model.texts) == (total, types, sum(d % 3 > 0 for d in texts))
     for row in scored.collect():
-        want = 0.0
-        for word, pair in zip(tokens[row["doc_id"]], zip(chain[row["doc_id"]], chain[row["doc_id"]][1:])):
-            n = followed[pair[0]] if pair[0] is not None else 0
-            weight = model.weights[int(math.log2(n)) + 1 if n else 0]
-            equal = (rare_types + 1 if pair[1] == "rare class" else 1) / (len(counts) + 1)
-            chance = weight[0] * pairs[pair] / max(n, 1) + weight[1] * classes[pair[1]] / total + weight[2] * equal
-            want += math.log10(chance)
-            if pair[1] == "rare class":
-                want += math.log10((counts[word] + 0.5) / (rare_tokens + 0.5 * (rare_types + 1)))
+        chain, want = chains[row["doc_id"]], 0.0
+        for each in zip(*(grams(chain, n) for n in range(1, order + 1))):
+            bucket, shares = 0, [1 / (types + 1), counts[0][each[0]] / total]
+            for longer in range(1, order):
+                n = followed[longer][each[longer][:-1]]
+                bucket = 64 * (longer - 1) + int(math.log2(n)) + 1 if n else bucket
+                shares.append(counts[longer][each[longer]] / max(n, 1))
+            want += math.log10(sum(w * s for w, s in zip(model.weights[bucket], reversed(shares))))
         assert row["score"] == pytest.approx(want, rel=1e-9)
 
 
+def test_lm_weights_are_those_of_plain_expectation_maximisation(documents, texts):
+    """Two shares that EM over every kept-back pair would learn, without cells."""
+    _, model = interpolation_lm.score(documents, F.lit(True), F.col("doc_id") % 5 == 0, order=2)
+    chains = {d: ["", *words(t), None] for d, t in texts.items()}
+    kept = [p for d, c in chains.items() if d % 5 for p in zip(c, c[1:])]
+    pairs, tokens, before = collections.Counter(kept), collections.Counter(p[1] for p in kept), collections.Counter(p[0] for p in kept)
+    types = len({w for c in chains.values() for w in c[1:]})
+    parts, bucket = [], []
+    for context, word in (p for d, c in chains.items() if not d % 5 for p in zip(c, c[1:])):
+        n = before[context]
+        bucket.append(int(math.log2(n)) + 1 if n else 0)
+        parts.append([pairs[context, word] / max(n, 1), max(tokens[word], 0.5) / len(kept), 1 / (types + 1)])
+    want = interpolation_lm.learn_weights(np.array(bucket), np.ones(len(bucket)), np.array(parts), 2)
+    found = np.unique(bucket)
+    assert np.abs(model.weights[found] - want[found]).max() < 0.02
+
+
 def test_lm_chances_add_up_to_one(documents):
-    _, model = interpolation_lm.score(documents, F.lit(True), F.col("doc_id") % 5 == 0, share=1e-3)
-    tokens = np.arange(len(model.counts))
-    for context in (0, 1, model.start):
-        pair = context * (model.start + 1) + tokens
-        place = np.minimum(np.searchsorted(model.hot, pair), len(model.hot) - 1)
-        seen = np.where(model.hot[place] == pair, model.hot_counts[place], 0)
-        followed, _, token, equal = model.estimates(pair, seen, model.counts)
-        weights = model.weights[interpolation_lm._frequency(followed)]
-        assert (weights[:, 1] * token + weights[:, 2] * equal).sum() == pytest.approx(weights[0, 1] + weights[0, 2])
-        assert weights.sum(axis=1) == pytest.approx(1)
+    """Over all words and the class of words never seen, after contexts of every kind."""
+    _, model = interpolation_lm.score(documents, F.lit(True), F.col("doc_id") % 5 == 0)
+    assert model.weights.sum(axis=1) == pytest.approx(1) and (model.weights >= 0).all()
+    # Where a context was never seen, the estimate that needs it has no weight.
+    assert (model.weights[0, :2] == 0).all() and (model.weights[:65, 0] == 0).all()
 
 
 def test_lm_of_odd_rows(odd, none):
