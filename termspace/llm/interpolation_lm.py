@@ -34,7 +34,7 @@ from termspace.session import scratch_path, settle
 ORDER = 3
 SLICE_BYTES = 4 * 2**20
 # Tokens whose n-grams of one length meet in one group, on average.
-GROUP_TOKENS = 2_000_000
+GROUP_TOKENS = 1_000_000
 # Slices that a group hears at once; beyond that their sums are added up in a second step.
 BLOCK_SLICES = 8_192
 ROUNDS = 200
@@ -43,7 +43,7 @@ END, START = 0, 1
 _UNTAUGHT, _KEPT, _HELD = range(3)
 _WORD_BITS = 63
 _SPAN = 64
-_STEPS = 4
+_STEPS = 1
 
 
 # Tokens and n-grams.
@@ -210,12 +210,18 @@ def _added(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np
     new = np.r_[True, np.diff(keys[order]) > 0]
     place = np.empty(len(keys), np.int64)
     place[order] = np.cumsum(new) - 1
-    n = np.concatenate([_unpack(x) for x in table["n"].to_pylist()])
-    kind = np.repeat(table["kind"].to_numpy(), [len(x) for x in lists])
-    counts = np.bincount(place, weights=n * (kind != _UNTAUGHT), minlength=int(new.sum()))
-    kept = np.bincount(place, weights=n * (kind == _KEPT), minlength=len(counts))
+    keys = keys[order][new]
+    del order, new
     places = np.split(place, np.cumsum([len(x) for x in lists])[:-1])
-    return keys[order][new], counts.astype(np.int64), kept.astype(np.int64), places
+    counts, kept = np.zeros((2, len(keys)), np.int64)
+    # A row's keys are distinct.
+    for at, kind, n in zip(places, table["kind"].to_pylist(), table["n"].to_pylist()):
+        if kind != _UNTAUGHT:
+            n = _unpack(n)
+            counts[at] += n
+            if kind == _KEPT:
+                kept[at] += n
+    return keys, counts, kept, places
 
 
 def _answers(table: pa.Table, counts: np.ndarray, kept: np.ndarray, places: list[np.ndarray]) -> list[tuple]:
@@ -400,7 +406,7 @@ def _learn(slices: DataFrame, answers: DataFrame, model: Model) -> np.ndarray:
     told = answers.filter(F.col("kind") == _HELD).select("slice", "part", "kept")
     found = held.groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(_cells(model), schema)
     sums = found.groupBy("cell", "bucket").agg(*[F.sum(c).alias(c) for c in ("n", *columns)]).orderBy("cell", "bucket")
-    # As many cells as kinds of shares in quarter doublings: their number grows with the logarithm of the counts.
+    # As many cells as kinds of shares in doublings: their number grows with the logarithm of the counts.
     cells = sums.toArrow()
     n = cells["n"].to_numpy()
     parts = np.stack([cells[c].to_numpy() for c in columns], axis=1) / np.maximum(n, 1)[:, None]
