@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from termspace.functions import expressions as X
 from termspace.functions import text
 from termspace.functions.vector_math import cosine
-from termspace.operators import answers, embedding, lexicon, relational, similarity
+from termspace.operators import answers, embedding, lexicon, relational, similarity, skipgram
 from termspace.operators.vocabulary import indexed_vocabulary, vocabulary
 from termspace.plans import stages, training
 from termspace.schemas import ARTICLE
@@ -405,6 +405,16 @@ def word2vec_train(spark, sf_dir) -> DataFrame:
     )
 
 
+def sharded_vectors(spark, sf_dir) -> DataFrame:
+    """Train on all documents, in blocks of words; which words have a vector of which make."""
+    settings = skipgram.SkipGram(vector_size=50, window=3, epochs=1, passes=1)
+    trained = skipgram.train_skipgram(tokens(spark, sf_dir), settings=settings)
+    finite = F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return trained.select(
+        "word", "idx", "count", F.size("vector").cast("long").alias("dims"), (finite & (F.col("norm") > 0)).alias("ok")
+    )
+
+
 def vector_export(spark, sf_dir) -> DataFrame:
     """Written as a training job does, read back, with position and length."""
     source = word_vectors(spark, sf_dir)
@@ -645,6 +655,7 @@ QUERIES = {
         lexicon_nouns,
         vocabulary_min_count,
         word2vec_train,
+        sharded_vectors,
         vector_export,
         document_vectors,
         cosine_pairs,

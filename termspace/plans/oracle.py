@@ -288,6 +288,15 @@ SQL = {
         """,
         vocabulary=VOCABULARY,
     ),
+    "sharded_vectors": _with(
+        """
+        SELECT word, row_number() OVER (ORDER BY count DESC, word) - 1 AS idx, count,
+               CAST(50 AS BIGINT) AS dims, true AS ok
+        FROM vocabulary
+        """,
+        tokens=TOKENS,
+        vocabulary=VOCABULARY,
+    ),
     "vector_export": _with(
         "SELECT word, idx, count, round(sqrt(list_dot_product(v, v)), 6) + 0.0 AS norm FROM word_vectors",
         tokens=TOKENS,
