@@ -11,18 +11,24 @@ tasks hold the same block. Nothing but sums reaches the driver.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termspace.operators.skew import lookup_join
+from termspace.operators.skew import fits, lookup_join
 from termspace.operators.vocabulary import indexed_vocabulary, vocabulary
 from termspace.session import remove, scratch_path, settle
 
 
+# Tokens whose pairs are counted in one piece.
+TOKENS_AT_ONCE = 2**20
+
+
 @dataclass(frozen=True)
 class SkipGram:
     """``words_per_block`` bounds the vectors that a task holds (twice as many), ``pairs_per_task`` sets their pairs on average.
@@ -61,13 +67,46 @@ def window_pairs(df: DataFrame, words: str, window: int) -> DataFrame:
     return pairs.groupBy("first", "second").agg(F.count("*").alias("n"))
 
 
-def _indexed_pairs(pairs: DataFrame, words: DataFrame, work: str) -> DataFrame:
-    """(centre, other, n) of pairs whose words are both in the vocabulary, each in both directions."""
-    index = words.select("word", "idx")
-    one = settle(lookup_join(pairs, index.toDF("first", "a"), "first", ["second"]).select("a", "second", "n"), "first", work)
-    both = lookup_join(one, index.toDF("second", "b"), "second", ["a"])
-    turned = F.explode(F.array(F.struct(F.col("a").alias("centre"), F.col("b").alias("other")), F.struct(F.col("b").alias("centre"), F.col("a").alias("other"))))
-    return both.select(turned.alias("pair"), "n").groupBy("pair.centre", "pair.other").agg(F.sum("n").alias("n"))
+def _indexed_pairs(df: DataFrame, words: str, vocab: DataFrame, window: int, work: str) -> DataFrame:
+    """(low, high, n): how often two words of the vocabulary, by position, meet in a window."""
+    index = vocab.select("word", "idx")
+    if fits(index):
+        listed = df.select(F.coalesce(F.col(words), F.array().cast("array<string>")).alias("words"))
+        found = listed.mapInArrow(_pair_counter(index, window), "a long, b long, n long")
+    else:
+        pairs = window_pairs(df, words, window)
+        one = settle(lookup_join(pairs, index.toDF("first", "a"), "first", ["second"]).select("a", "second", "n"), "first", work)
+        found = lookup_join(one, index.toDF("second", "b"), "second", ["a"])
+    return found.groupBy(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).agg(F.sum("n").alias("n"))
+
+
+def _pair_counter(index: DataFrame, window: int):
+    """Pairs counted where the text is read, by a vocabulary that ``fits``."""
+    known = index.orderBy("idx").toArrow()["word"].combine_chunks()
+    sent = index.sparkSession.sparkContext.broadcast(known)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
+        for batch in batches:
+            lists = batch.column(0)
+            offsets = np.asarray(lists.offsets, dtype=np.int64)
+            first = 0
+            while first < len(lists):
+                last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + TOKENS_AT_ONCE, side="right")) - 1)
+                part = lists[first:last]
+                place = pc.index_in(part.flatten(), value_set=known).fill_null(-1).to_numpy().astype(np.int64)
+                of_list = np.repeat(np.arange(last - first), np.diff(offsets[first : last + 1]))
+                codes = [np.zeros(0, np.int64)]
+                for gap in range(1, window + 1):
+                    a, b = place[:-gap], place[gap:]
+                    real = (a >= 0) & (b >= 0) & (of_list[:-gap] == of_list[gap:])
+                    codes.append((np.minimum(a, b) * len(known) + np.maximum(a, b))[real])
+                pairs, n = np.unique(np.concatenate(codes), return_counts=True)
+                columns = [pa.array(x) for x in (pairs // max(1, len(known)), pairs % max(1, len(known)), n)]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "n"])
+                first = last
+
+    return count
 
 
 def gradients(x: np.ndarray, y: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,9 +210,14 @@ def train_skipgram(df: DataFrame, words: str = "words", settings: SkipGram = Ski
     counts = indexed_vocabulary(vocabulary(df, words, settings.min_count), work)
     vocab = settle(counts, "vocabulary", work)
     row = vocab.agg(F.count("*").alias("n"), F.sum(F.pow("count", F.lit(0.75))).alias("noise")).first()
-    pairs = settle(_indexed_pairs(window_pairs(df, words, settings.window), vocab, work), "indexed", work)
+    met = settle(_indexed_pairs(df, words, vocab, settings.window, work), "indexed", work)
     # As many tasks train at a time as there are blocks, and meet as many blocks of neighbours.
-    blocks = max(1, math.ceil(row["n"] / settings.words_per_block), math.ceil(math.sqrt(pairs.count() / settings.pairs_per_task)))
+    blocks = max(1, math.ceil(row["n"] / settings.words_per_block), math.ceil(math.sqrt(2 * met.count() / settings.pairs_per_task)))
+    # Each word is the centre of the pair once.
+    low, high, n = (F.col(c) for c in ("low", "high", "n"))
+    seen = [F.struct(c.alias("centre"), o.alias("other"), n.alias("n")) for c, o in ((low, high), (high, low))]
+    alone = F.struct(low.alias("centre"), high.alias("other"), (2 * n).alias("n"))
+    pairs = met.select(F.explode(F.when(low == high, F.array(alone)).otherwise(F.array(*seen))).alias("pair")).select("pair.*")
     place = [F.pmod(c, F.lit(blocks)) for c in ("centre", "other")]
     path = f"{work}/pairs"
     turned = pairs.withColumn("block", place[0]).withColumn("turn", F.pmod(place[1] - place[0], F.lit(blocks)))

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from termspace.operators import skipgram
@@ -38,6 +39,17 @@ def test_pairs_are_those_of_the_window(spark):
     assert {(r["first"], r["second"]): r["n"] for r in skipgram.window_pairs(df, "words", 2).collect()} == want
 
 
+def test_pairs_are_the_same_with_and_without_a_small_vocabulary(planted, monkeypatch, tmp_path):
+    vocab = planted.select(F.explode("words").alias("word")).distinct().filter("word NOT LIKE '%w5'")
+    vocab = vocab.withColumn("idx", F.row_number().over(Window.orderBy("word")).cast("long") - 1)
+    found = []
+    for small in (True, False):
+        monkeypatch.setattr(skipgram, "fits", lambda table: small)
+        rows = skipgram._indexed_pairs(planted, "words", vocab, 3, f"{tmp_path}/{small}").collect()
+        found.append(sorted(map(tuple, rows)))
+    assert found[0] == found[1] and len(found[0]) > 100
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(3)
     x, y = rng.normal(size=(2, 5, 4))
