@@ -91,21 +91,19 @@ def group_counts(
     (_lang, _source, _index, _count), only those above zero.
     """
     spark = docs.sparkSession
-    # Texts are cut once; counting, fitting and turning into vectors read the terms.
+    # Texts are cut once; counting and turning into vectors read the terms.
     tokens = settle(term_tokens(docs), "tokens", work)
     groups = settle(tokens.select("_lang", "_source").distinct(), "groups", work)
-    # How many terms are kept decides in how many parts they are fitted, before any reaches the driver.
+    # Rows that have a term, counted once; how many terms are kept decides in how many parts they are fitted.
     each = tokens.select(F.explode(F.array_distinct("_tokens")).alias("_token")).groupBy("_token").count()
-    kept = each.filter(F.col("count") >= min_documents).count()
-    parts = -(-kept // fit_terms)
+    kept = settle(each.filter(F.col("count") >= min_documents).select("_token"), "kept", work)
+    parts = -(-kept.count() // fit_terms)
     vocabularies, counts = [], []
     for part in range(parts):
-        chosen = tokens
-        if parts > 1:
-            mine = F.filter("_tokens", lambda t: F.pmod(F.xxhash64(t), F.lit(parts)) == part)
-            chosen = tokens.withColumn("_tokens", mine)
-        counter = CountVectorizer(inputCol="_tokens", outputCol="_vector", minDF=min_documents, vocabSize=VOCABULARY)
-        model = counter.fit(chosen)
+        chosen = kept.filter(F.pmod(F.xxhash64("_token"), F.lit(parts)) == part) if parts > 1 else kept
+        # Fitted on the kept terms, not on the texts: each of them has its place.
+        counter = CountVectorizer(inputCol="_tokens", outputCol="_vector", vocabSize=VOCABULARY)
+        model = counter.fit(chosen.select(F.array("_token").alias("_tokens")))
         path = f"{work}/model{part}"
         model.write().save(path)
         words = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("_pos", "_token"))
@@ -117,7 +115,7 @@ def group_counts(
                 (F.col("_pos").cast("long") * parts + part).alias("_index"),
             )
         )
-        counts.append(group_sums(model.transform(chosen), F.col("_pos").cast("long") * parts + part))
+        counts.append(group_sums(model.transform(tokens), F.col("_pos").cast("long") * parts + part))
     if not parts:
         empty = groups.limit(0)
         vocabularies.append(empty.select("_lang", F.col("_source").alias("_term"), F.lit(0).cast("long").alias("_index")))
