@@ -44,13 +44,16 @@ def reply_to(
     name: str,
     link_base: str = LINK_BASE,
     work: str | None = None,
+    known=None,
     **sizes,
 ) -> DataFrame:
     """(in_reply_to, ts, author, kind, reply, url): one reply per direct message.
 
     Each distinct expression is answered once, however many messages carry it:
     expressions are counted and written down first (below ``work``), and the
-    messages are joined to the answers with hot expressions split up.
+    messages are joined to the answers with hot expressions split up. ``known``
+    (see ``streaming.answered.AnsweredExpressions``) holds answers by the same
+    vectors for all batches of a stream.
     """
     text = F.col("text")
     parsed = direct_mentions(mentions, name).select(
@@ -63,7 +66,8 @@ def reply_to(
     )
     terms = X.terms_of_key(F.col("key")).alias("terms")
     queries = settle(parsed.groupBy("key").count().select("*", terms), "expressions", work)
-    answers = settle(answer_expressions(queries, vectors, work, **sizes), "answers", work)
+    answered = lambda asked: answer_expressions(asked, vectors, work, **sizes)
+    answers = settle(answered(queries), "answers", work) if known is None else known.answer(queries, answered, work)
     # Every key has an answer; a left join spares a test for null keys before it.
     replies = lookup_join(parsed, answers, "key", spread=["id"], how="left", hot=hot_keys(queries, "key"))
     return route(replies).select(
