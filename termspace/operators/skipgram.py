@@ -18,7 +18,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from termspace.operators.skew import fits, lookup_join
@@ -79,6 +80,13 @@ _PAIRS = "bucket long, low binary, high binary, n binary"
 _CELLS = "gap long, x long, first binary, second binary, n binary"
 
 
+def _settled_texts(df: DataFrame, words: str, work: str) -> tuple[DataFrame, int]:
+    """``_texts``, written down, and their tokens, which are counted while they are written."""
+    seen = Observation()
+    texts = settle(_texts(df, words).observe(seen, F.sum("tokens").alias("tokens")), "texts", work)
+    return texts, seen.get["tokens"] or 0
+
+
 def _texts(df: DataFrame, words: str) -> DataFrame:
     """Token lists in chunks: each distinct word of a chunk once, with its count, and the tokens as places in them."""
     listed = df.select(F.coalesce(F.col(words), F.array().cast("array<string>")).alias("words"))
@@ -116,18 +124,17 @@ def _indexed_pairs(df: DataFrame, words: str, vocab: DataFrame, window: int, wor
             low, high, n = (_joined(batch.column(c), t).astype(np.int64) for c, t in (("low", "<u4"), ("high", "<u4"), ("n", "<i8")))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (low, high, n)], names=["low", "high", "n"])
 
-    texts = settle(_texts(df, words), "texts", work)
-    return _packed_pairs(texts, vocab, window).mapInArrow(listed, "low long, high long, n long")
+    texts, tokens = _settled_texts(df, words, work)
+    return _packed_pairs(texts, tokens, vocab, window).mapInArrow(listed, "low long, high long, n long")
 
 
-def _packed_pairs(texts: DataFrame, vocab: DataFrame, window: int) -> DataFrame:
+def _packed_pairs(texts: DataFrame, tokens: int, vocab: DataFrame, window: int) -> DataFrame:
     """The distinct pairs of ``_texts`` and their counts, packed: many to a row, dealt to buckets by hash.
 
     The words of a chunk are looked up, not its tokens or pairs: beside them in
     the task if the vocabulary ``fits``, else by a join on the distinct words.
     """
     index = vocab.select("word", "idx")
-    tokens = texts.agg(F.sum("tokens")).first()[0] or 0
     buckets = max(1, math.ceil(tokens * window / PAIRS_AT_ONCE))
     if fits(index):
         found = texts.select("words", "places", "sizes").mapInArrow(_pair_counter(index, window, buckets), _PAIRS)
@@ -141,7 +148,8 @@ def _packed_pairs(texts: DataFrame, vocab: DataFrame, window: int) -> DataFrame:
 
 def _pair_counter(index: DataFrame, window: int, buckets: int):
     """Pairs counted by a vocabulary that ``fits``."""
-    known = index.orderBy("idx").toArrow()["word"].combine_chunks()
+    # Sorted on the driver, which holds it anyway: Spark would read the table twice to sort it.
+    known = index.toArrow().sort_by("idx")["word"].combine_chunks()
     sent = index.sparkSession.sparkContext.broadcast(known)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,11 +200,14 @@ def _dealt_pairs(of_word: np.ndarray, places: bytes, sizes: bytes, window: int,
 
 def _added_up(rows: pa.Table) -> pa.Table:
     """Packed pairs of a bucket, each once, some 100,000s to a row."""
-    codes = _joined(rows["low"], "<u4").astype(np.int64) << 32 | _joined(rows["high"], "<u4")
-    n = _joined(rows["n"], "<i8")
+    codes = _joined(rows["low"], "<u4").astype(np.int64)
+    codes <<= 32
+    codes |= _joined(rows["high"], "<u4")
     # The parts are in order each, so a merge sort has little to do.
     order = np.argsort(codes, kind="stable")
-    codes, n = codes[order], n[order]
+    codes = codes[order]
+    n = _joined(rows["n"], "<i8")[order]
+    del order
     starts = _starts(codes)
     codes, n = codes[starts], np.add.reduceat(n, starts) if len(starts) else n
     return pa.Table.from_batches([_rows_of(np.arange(len(codes)) >> 18, ["bucket"], lambda key: [key], **_split(codes), n=n)])
@@ -257,6 +268,13 @@ def _to_cells(blocks: int):
     return deal
 
 
+def _met(cells: DataFrame, blocks: int) -> DataFrame:
+    """(block, met): how often its words meet others, of both blocks of each cell, which are one if there is no gap."""
+    first = F.struct(F.col("x").alias("block"), F.col("first_met").alias("met"))
+    second = F.struct(F.pmod(F.col("x") + F.col("gap"), F.lit(blocks)).alias("block"), F.col("second_met").alias("met"))
+    return cells.select(F.inline(F.when(F.col("gap") > 0, F.array(first, second)).otherwise(F.array(first))))
+
+
 def _one_cell(blocks: int, words: int):
     """The parts of a cell as one row, and how often each word of its two blocks meets one of the other."""
 
@@ -407,11 +425,13 @@ def train_skipgram(df: DataFrame, words: str = "words", settings: SkipGram = Ski
     """
     spark = df.sparkSession
     work = work or scratch_path(spark, "skip-gram")
-    texts = settle(_texts(df, words), "texts", work)
-    counts = indexed_vocabulary(vocabulary(texts, "words", settings.min_count, times="times"), work)
-    vocab = settle(counts, "vocabulary", work)
+    texts, tokens = _settled_texts(df, words, work)
+    # Kept until they have positions: the sort by range samples its rows first, and would add the counts up a second time.
+    counted = vocabulary(texts, "words", settings.min_count, times="times").persist(StorageLevel.DISK_ONLY)
+    vocab = settle(indexed_vocabulary(counted, work), "vocabulary", work)
+    counted.unpersist()
     row = vocab.agg(F.count("*").alias("n"), F.sum(F.pow("count", F.lit(0.75))).alias("noise")).first()
-    met = settle(_packed_pairs(texts, vocab, settings.window), "indexed", work)
+    met = settle(_packed_pairs(texts, tokens, vocab, settings.window), "indexed", work)
     remove(spark, f"{work}/texts")
     distinct = met.agg(F.sum(F.octet_length("n") / 8).cast("long")).first()[0] or 0
     # As many tasks train at a time as there are blocks, and meet as many blocks of neighbours.
@@ -424,12 +444,8 @@ def train_skipgram(df: DataFrame, words: str = "words", settings: SkipGram = Ski
     remove(spark, f"{work}/indexed")
     cells = spark.read.schema(schema).parquet(path)
 
-    x, gap = F.col("x"), F.col("gap")
-    parts = cells.select(x.alias("block"), F.col("first_met").alias("met")).union(
-        cells.filter(gap > 0).select(F.pmod(x + gap, F.lit(blocks)), "second_met")
-    )
     placed = vocab.select(F.pmod("idx", F.lit(blocks)).alias("block"), "idx", "count").groupBy("block")
-    state = settle(placed.cogroup(parts.groupBy("block")).applyInArrow(_first_state(settings, blocks), _STATE), "state", work)
+    state = settle(placed.cogroup(_met(cells, blocks).groupBy("block")).applyInArrow(_first_state(settings, blocks), _STATE), "state", work)
     before = f"{work}/state"
     for epoch in range(settings.epochs):
         for turn in range(blocks):
