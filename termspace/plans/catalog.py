@@ -24,7 +24,7 @@ from termspace.functions import expressions as X
 from termspace.functions import text
 from termspace.functions.vector_math import cosine
 from termspace.operators import answers, embedding, lexicon, relational, similarity, skipgram
-from termspace.operators.vocabulary import indexed_vocabulary, vocabulary
+from termspace.operators.vocabulary import indexed_vocabulary, lists_and_distinct, vocabulary
 from termspace.plans import stages, training
 from termspace.schemas import ARTICLE
 from termspace.session import fill_cores, scratch_path, settle
@@ -357,8 +357,12 @@ def project_text(spark, sf_dir) -> DataFrame:
 
 def explode_tokens(spark, sf_dir) -> DataFrame:
     exploder = stages.ColumnExploder(inputCol="words", outputCol="word")
-    exploded = exploder.transform(tokens(spark, sf_dir))
-    return exploded.groupBy("word").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("n_docs"))
+    exploded = exploder.transform(lists_and_distinct(tokens(spark, sf_dir), "doc_id", "words"))
+    # Only documents of several rows are told apart by word.
+    alone = F.count_if(F.col("distinct") & F.col("again").isNull())
+    return exploded.groupBy("word").agg(
+        F.count_if(~F.col("distinct")).alias("n"), (alone + F.countDistinct("again")).alias("n_docs")
+    )
 
 
 # Text.

@@ -2,8 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from termspace.operators import relational
+from termspace.operators import vocabulary as vocabulary_module
 from termspace.operators.skew import fits, hot_keys, lookup_join
 from termspace.operators.vocabulary import by_frequency, dense_index, vocabulary
+from termspace.plans import catalog
 
 
 def test_dedup_takes_the_first_and_keeps_null_keys(spark):
@@ -76,3 +78,48 @@ def test_index_over_many_partitions(spark):
     assert [r["idx"] for r in rows] == list(range(5000))
     order = [(-r["count"], r["word"]) for r in rows]
     assert order == sorted(order)
+
+
+def documents_at(spark, path, rows):
+    """A table of documents as the queries read it, in two files."""
+    made = spark.createDataFrame(rows, "doc_id long, text string").repartition(2, "doc_id")
+    made.write.parquet(f"{path}/documents.parquet")
+    return str(path)
+
+
+def shuffled_rows(node):
+    """Rows that the shuffles of a plan that has run wrote, the last shuffle first."""
+    name, found = node.getClass().getSimpleName(), []
+    if name == "AdaptiveSparkPlanExec":
+        return shuffled_rows(node.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return shuffled_rows(node.plan())
+    if name == "ShuffleExchangeExec":
+        found.append(node.metrics().apply("shuffleRecordsWritten").value())
+    for i in range(node.children().size()):
+        found += shuffled_rows(node.children().apply(i))
+    return found
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_documents_of_a_word_are_counted_whatever_their_ids(spark, monkeypatch, tmp_path, small):
+    """Ids in several rows, of one text or more, rows that come twice, no id, no text, no words."""
+    rows = [(1, "a b a"), (2, "A c"), (2, "a d"), (3, "b b"), (3, "b b"), (None, "a e"), (None, "a"), (4, None), (5, ""), (6, "-")]
+    rows += [(7, "f"), (7, None), (8, "a g"), (8, None), (None, None)]
+    seen = [(word.lower(), doc) for doc, text in rows for word in (text or "").split() if word != "-"]
+    want = {w: (sum(w == x for x, _ in seen), len({d for x, d in seen if x == w and d is not None})) for w, _ in seen}
+    monkeypatch.setattr(vocabulary_module, "fits", lambda table: small)
+    found = catalog.explode_tokens(spark, documents_at(spark, tmp_path, rows)).collect()
+    assert {r["word"]: (r["n"], r["n_docs"]) for r in found} == want and len(found) == len(want)
+    assert want["a"] == (7, 3) and want["e"] == (1, 0) and want["b"] == (5, 2)
+
+
+def test_words_are_not_kept_for_each_document_of_one_row(spark, tmp_path):
+    """A task sends a row for each of its words, and one more for each word of a document whose id comes again."""
+    rows = [(i, " ".join(f"w{j}" for j in range(50))) for i in range(200)]
+    for name, more in (("alone", []), ("again", [(0, "w0 x")])):
+        counted = catalog.explode_tokens(spark, documents_at(spark, tmp_path / name, rows + more))
+        assert {(r["n"], r["n_docs"]) for r in counted.collect()} == ({(200, 200)} if not more else {(200, 200), (201, 200), (1, 1)})
+        tasks = spark.sparkContext.defaultParallelism
+        first = shuffled_rows(counted._jdf.queryExecution().executedPlan())[1]
+        assert 50 <= first <= tasks * 51 + 51 * len(more)
